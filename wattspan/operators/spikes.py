@@ -38,8 +38,8 @@ def join_baseline(
     if baseline.count() <= cfg.max_broadcast_rows:
         return readings.join(F.broadcast(baseline), BASELINE_KEYS).drop("hour_start")
     salt = F.pmod(F.xxhash64("timestamp", "grid_id", "demand_mw"), F.lit(cfg.join_salts))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(cfg.join_salts - 1)))
-    salted = baseline.withColumn("_salt", every_salt.cast("bigint"))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(cfg.join_salts - 1).cast("bigint"))
+    salted = baseline.withColumn("_salt", F.explode(salts))
     return (
         readings.withColumn("_salt", salt)
         .join(salted, [*BASELINE_KEYS, "_salt"])

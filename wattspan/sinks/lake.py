@@ -30,43 +30,40 @@ def write_lake(
     mode: str = "append",
     partitions: int | None = None,
     target_size: str = "256MB",
-    writers_per_partition: int = 8,
 ) -> StreamingQuery | None:
     """Append readings below ``path`` by year, month, day, hour and region.
 
-    A batch is rebalanced by its partition columns: AQE joins small hours and
+    Rows are rebalanced by their partition columns: AQE joins small hours and
     splits a hot one, towards ``target_size`` of shuffle data per task. Give
     ``partitions`` (by default the session's shuffle partitions) as at least
     the number of folders written, so that a split task writes few of them.
 
-    A stream is spread by the same columns plus a salt of
-    ``writers_per_partition`` values, because one trigger mostly holds one
-    hour; its native sink commits every file exactly once, also after a
-    restart. Rows without an event time belong in the rejects and are not
-    written.
+    A stream needs ``run``; its native sink commits every file exactly once,
+    also after a restart. AQE rebalances stateless streams only. Rows without
+    an event time belong in the rejects and are not written.
 
     Do not append batches to a folder that a stream writes: readers of such a
     folder follow the stream's commit log.
     """
-    placed = with_partition_columns(df.where("timestamp IS NOT NULL"))
-    if df.isStreaming:
-        if run is None:
-            raise ValueError("a streaming write needs a Run")
-        salt = F.pmod(F.xxhash64("timestamp", "grid_id"), F.lit(writers_per_partition))
-        spread = placed.repartition(*PARTITION_COLUMNS, salt)
-        return run.start(
-            spread,
-            lambda w: w.format("parquet").option("path", path).partitionBy(*PARTITION_COLUMNS),
-        )
     initial = [] if partitions is None else [partitions]
+    placed = with_partition_columns(df.where("timestamp IS NOT NULL"))
     balanced = placed.hint("rebalance", *initial, *PARTITION_COLUMNS)
-    # Sorted by time, so row groups of an hour can be skipped.
-    ordered = balanced.sortWithinPartitions(*PARTITION_COLUMNS, "timestamp")
     sizes = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_size,
         # Many small folders cost time by their number, not by their bytes.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
     }
     with session_conf(df.sparkSession, sizes):
+        if df.isStreaming:
+            if run is None:
+                raise ValueError("a streaming write needs a Run")
+            return run.start(
+                balanced,
+                lambda w: w.format("parquet")
+                .option("path", path)
+                .partitionBy(*PARTITION_COLUMNS),
+            )
+        # Sorted by time, so row groups of an hour can be skipped.
+        ordered = balanced.sortWithinPartitions(*PARTITION_COLUMNS, "timestamp")
         ordered.write.partitionBy(*PARTITION_COLUMNS).mode(mode).parquet(path)
     return None

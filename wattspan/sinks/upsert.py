@@ -72,6 +72,18 @@ def write_upsert(df: DataFrame, spec: UpsertSpec, run: Run) -> StreamingQuery:
     )
 
 
+def _versions(
+    spark: SparkSession, location: str, schema: StructType, base: str | None, after: int
+) -> DataFrame:
+    """All versions in batches later than ``after``, and the rows of ``base`` before them."""
+    batched = StructType([*schema.fields]).add(BATCH, "long")
+    rows = spark.read.schema(batched).parquet(location).where(F.col(BATCH) > after)
+    if base is None:
+        return rows
+    compacted = spark.read.schema(schema).parquet(base)
+    return rows.unionByName(compacted.withColumn(BATCH, F.lit(-1).cast("bigint")))
+
+
 def read_upserts(
     spark: SparkSession,
     location: str,
@@ -80,16 +92,12 @@ def read_upserts(
     base: str | None = None,
     after: int = -1,
 ) -> DataFrame:
-    """The current row of every key, from batches later than ``after``.
+    """The current row of every key.
 
-    ``base`` is a folder made by :func:`compact_upserts`, which replaces the
-    batches up to the one it was made for.
+    ``base`` is a folder made by :func:`compact_upserts` and ``after`` the
+    batch it was made through; it then stands for the batches up to that one.
     """
-    batched = StructType(schema.fields).add(BATCH, "long")
-    rows = spark.read.schema(batched).parquet(location).where(F.col(BATCH) > after)
-    if base:
-        compacted = spark.read.schema(schema).parquet(base)
-        rows = rows.unionByName(compacted.withColumn(BATCH, F.lit(-1).cast("bigint")))
+    rows = _versions(spark, location, schema, base, after)
     return latest_by_key(rows, keys, [BATCH]).select(*schema.fieldNames())
 
 
@@ -105,13 +113,9 @@ def compact_upserts(
 ) -> None:
     """Write the state after batch ``through`` to the new folder ``target``.
 
-    Readers then pass ``base=target, after=through``; nothing is deleted here.
+    It builds on an earlier ``base`` when there is one, so each run reads only
+    the batches since. Nothing is deleted here.
     """
-    batched = StructType(schema.fields).add(BATCH, "long")
-    rows = spark.read.schema(batched).parquet(location)
-    rows = rows.where((F.col(BATCH) > after) & (F.col(BATCH) <= through))
-    if base:
-        compacted = spark.read.schema(schema).parquet(base)
-        rows = rows.unionByName(compacted.withColumn(BATCH, F.lit(-1).cast("bigint")))
+    rows = _versions(spark, location, schema, base, after).where(F.col(BATCH) <= through)
     current = latest_by_key(rows, keys, [BATCH]).select(*schema.fieldNames())
     current.write.mode("errorifexists").parquet(target)
