@@ -66,7 +66,13 @@ from wattspan.operators import (
 )
 from wattspan.operators.documents import DOCUMENT_ID, document_id, epoch_ms
 from wattspan.operators.spikes import stage_baseline
-from wattspan.plans.telemetry import messages, readings, stream_readings
+from wattspan.plans.telemetry import (
+    identities,
+    messages,
+    read_events,
+    readings,
+    stream_readings,
+)
 from wattspan.schemas import READING_COLUMNS
 from wattspan.session import work_path
 from wattspan.sinks import (
@@ -138,7 +144,7 @@ def stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lake_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per lake partition."""
-    placed = with_partition_columns(readings(spark, sf_dir))
+    placed = with_partition_columns(identities(read_events(spark, sf_dir)))
     return placed.groupBy("year", "month", "day", "hour", "region").agg(
         F.count("*").alias("record_count")
     )
@@ -472,14 +478,14 @@ def hourly_baseline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def region_options_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return region_options(readings(spark, sf_dir))
+    return region_options(identities(read_events(spark, sf_dir)))
 
 
 @query
 def last_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of the fifteen minutes up to the newest one."""
-    df = readings(spark, sf_dir)
-    return flatten_readings(time_range(df, latest_time(df)))
+    newest = latest_time(identities(read_events(spark, sf_dir)))
+    return flatten_readings(time_range(readings(spark, sf_dir), newest))
 
 
 @query

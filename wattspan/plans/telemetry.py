@@ -21,7 +21,7 @@ from wattspan.functions.metrics import (
 from wattspan.operators.alerts import classify_alert
 from wattspan.operators.parse import expand_once, to_messages
 from wattspan.schemas import READING_COLUMNS
-from wattspan.session import use_utc
+from wattspan.session import prepare
 
 # `ts` holds UTC wall time, which is what TIMESTAMP reads it as. With the
 # schema given, planning opens no file and limits on `ts` reach the scan.
@@ -32,7 +32,7 @@ EVENTS_DDL = (
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as a batch."""
-    return use_utc(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
+    return prepare(spark).read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
 def stream_events(
@@ -43,7 +43,7 @@ def stream_events(
     The bracket makes the path a glob; a file source rejects the plain path
     of a single file.
     """
-    reader = use_utc(spark).readStream.schema(EVENTS_DDL)
+    reader = prepare(spark).readStream.schema(EVENTS_DDL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(f"{sf_dir}/events[.]parquet")
@@ -56,17 +56,29 @@ def _by_region(index: Column, values: list) -> Column:
     return chain
 
 
+def _region_index() -> Column:
+    return F.pmod(F.col("user_id"), F.lit(len(REGIONS)))
+
+
+def identities(events: DataFrame) -> DataFrame:
+    """When and where of each reading; reads no measurement."""
+    return events.select(
+        "event_id",
+        F.col("ts").alias("timestamp"),
+        _by_region(_region_index(), list(REGIONS)).alias("region"),
+    )
+
+
 def readings_from_events(
     events: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, keep_id: bool = False
 ) -> DataFrame:
     """Typed readings, one per event; a pure projection for batch and streams."""
     i, h, k, base = (F.col(c) for c in ("event_id", "hour_of_day", "k", "base"))
-    region = F.pmod(F.col("user_id"), F.lit(5))
     placed = events.select(
         "event_id",
         F.col("ts").alias("timestamp"),
-        _by_region(region, list(REGIONS)).alias("region"),
-        _by_region(region, [BASE_CAPACITY_MW[r] for r in REGIONS]).alias("base"),
+        _by_region(_region_index(), list(REGIONS)).alias("region"),
+        _by_region(_region_index(), [BASE_CAPACITY_MW[r] for r in REGIONS]).alias("base"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.hour("ts").alias("hour_of_day"),
     )
@@ -84,8 +96,6 @@ def readings_from_events(
     fault = F.when(i % 20 == 0, 60 + (k - 50) / F.lit(1024.0))
     voltage_fault = F.when(i % 23 == 0, 320 + k / F.lit(2.0))
     raw = {
-        "region": F.col("region"),
-        "hour_of_day": h,
         "demand_mw": F.col("dem0") * F.when(i % 37 == 0, 1.75).otherwise(1.0),
         "Solar": F.col("Solar"),
         "Wind": F.col("Wind"),
@@ -98,9 +108,8 @@ def readings_from_events(
         "temperature_celsius": 15 + (k % 41) / F.lit(2.0),
     }
     # Below this point are the raw measurements, which every query needs some of.
-    once = expand_once(
-        rest, F.struct(*(v.alias(n) for n, v in raw.items())), "event_id", "timestamp"
-    )
+    struct = F.struct(*(value.alias(name) for name, value in raw.items()))
+    once = expand_once(rest, struct, "event_id", "timestamp", "region", "hour_of_day")
     measured = once.withColumns(
         {
             "grid_id": F.concat(

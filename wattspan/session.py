@@ -13,10 +13,19 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
-# Static and runtime settings for sessions the engine opens itself. Sizes are
-# left to the cluster; AQE merges or splits shuffle partitions at run time.
-SESSION_CONF = {
+# Settings that results (the time zone) or speed depend on in any session. A
+# JVM does not compile methods above 8000 bytes of code; wide projections such
+# as the flat document exceed that as one method, and run several times faster
+# operator by operator.
+RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+# Settings of sessions the engine opens itself. Sizes are left to the cluster;
+# AQE merges or splits shuffle partitions at run time.
+SESSION_CONF = {
+    **RUNTIME_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -39,10 +48,11 @@ def build_session(
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone, which hours and calendar columns depend on."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Bring a session that was opened elsewhere to :data:`RUNTIME_CONF`."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
