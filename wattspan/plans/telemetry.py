@@ -6,7 +6,9 @@ dyadic, so every engine computes them without rounding.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattspan.config import BASE_CAPACITY_MW, DEFAULT_CONFIG, REGIONS, SOURCES, EngineConfig
@@ -49,74 +51,66 @@ def stream_events(
     return reader.parquet(f"{sf_dir}/events[.]parquet")
 
 
-def _by_region(index: Column, values: list) -> Column:
-    chain = F
-    for position, value in enumerate(values):
-        chain = chain.when(index == position, F.lit(value))
-    return chain
+def _by_region(values: Sequence[str]) -> str:
+    cases = " ".join(f"WHEN {position} THEN {value}" for position, value in enumerate(values))
+    return f"CASE pmod(user_id, {len(values)}) {cases} END"
+
 
+REGION = _by_region([f"'{region}'" for region in REGIONS])
+BASE = _by_region([f"{BASE_CAPACITY_MW[region]!r}D" for region in REGIONS])
 
-def _region_index() -> Column:
-    return F.pmod(F.col("user_id"), F.lit(len(REGIONS)))
+# The raw measurements of a reading: every query needs some of them.
+RAW = {
+    "demand_mw": "dem0 * CASE WHEN event_id % 37 = 0 THEN 1.75D ELSE 1D END",
+    "Solar": "Solar",
+    "Wind": "Wind",
+    "Natural_Gas": "rem * 0.75D + (event_id % 4) * (base / 32)",
+    "Coal": "rem * 0.25D",
+    "Nuclear": "Nuclear",
+    "Hydro": "Hydro",
+    "grid_frequency_hz": """CASE WHEN event_id % 20 = 0 THEN 60D + (k - 50) / 1024D
+        ELSE 60D + (k % 10 - 5) / 1024D END""",
+    "voltage_kv": "CASE WHEN event_id % 23 = 0 THEN 320D + k / 2D ELSE 340D + (k % 20) / 2D END",
+    "temperature_celsius": "15D + (k % 41) / 2D",
+}
 
 
 def identities(events: DataFrame) -> DataFrame:
     """When and where of each reading; reads no measurement."""
-    return events.select(
-        "event_id",
-        F.col("ts").alias("timestamp"),
-        _by_region(_region_index(), list(REGIONS)).alias("region"),
-    )
+    return events.selectExpr("event_id", "ts AS timestamp", f"{REGION} AS region")
 
 
 def readings_from_events(
     events: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG, keep_id: bool = False
 ) -> DataFrame:
     """Typed readings, one per event; a pure projection for batch and streams."""
-    i, h, k, base = (F.col(c) for c in ("event_id", "hour_of_day", "k", "base"))
-    placed = events.select(
-        "event_id",
-        F.col("ts").alias("timestamp"),
-        _by_region(_region_index(), list(REGIONS)).alias("region"),
-        _by_region(_region_index(), [BASE_CAPACITY_MW[r] for r in REGIONS]).alias("base"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.hour("ts").alias("hour_of_day"),
+    rest = (
+        events.selectExpr(
+            "event_id",
+            "ts AS timestamp",
+            f"{REGION} AS region",
+            f"{BASE} AS base",
+            "cast(get_json_object(props, '$.k') AS INT) AS k",
+            "hour(ts) AS hour_of_day",
+        )
+        .selectExpr(
+            "*",
+            "base * 0.5D + k * 16 + (event_id % 7) * 8 AS dem0",
+            "CASE WHEN hour_of_day < 6 OR hour_of_day > 20 THEN 0D ELSE base / 16 END AS Solar",
+            "base / 8 + k AS Wind",
+            "base / 8 AS Nuclear",
+            "base / 16 AS Hydro",
+        )
+        .selectExpr("*", "greatest(0D, dem0 - (Solar + Wind + Nuclear + Hydro)) AS rem")
     )
-    supply = placed.withColumns(
-        {
-            "dem0": base * 0.5 + k * 16 + (i % 7) * 8,
-            "Solar": F.when((h < 6) | (h > 20), F.lit(0.0)).otherwise(base / 16),
-            "Wind": base / 8 + k,
-            "Nuclear": base / 8,
-            "Hydro": base / 16,
-        }
+    fields = ", ".join(f"{value} AS {name}" for name, value in RAW.items())
+    once = expand_once(
+        rest, F.expr(f"struct({fields})"), "event_id", "timestamp", "region", "hour_of_day"
     )
-    baseload = F.col("Solar") + F.col("Wind") + F.col("Nuclear") + F.col("Hydro")
-    rest = supply.withColumn("rem", F.greatest(F.lit(0.0), F.col("dem0") - baseload))
-    fault = F.when(i % 20 == 0, 60 + (k - 50) / F.lit(1024.0))
-    voltage_fault = F.when(i % 23 == 0, 320 + k / F.lit(2.0))
-    raw = {
-        "demand_mw": F.col("dem0") * F.when(i % 37 == 0, 1.75).otherwise(1.0),
-        "Solar": F.col("Solar"),
-        "Wind": F.col("Wind"),
-        "Natural_Gas": F.col("rem") * 0.75 + (i % 4) * (base / 32),
-        "Coal": F.col("rem") * 0.25,
-        "Nuclear": F.col("Nuclear"),
-        "Hydro": F.col("Hydro"),
-        "grid_frequency_hz": fault.otherwise(60 + (k % 10 - 5) / F.lit(1024.0)),
-        "voltage_kv": voltage_fault.otherwise(340 + (k % 20) / F.lit(2.0)),
-        "temperature_celsius": 15 + (k % 41) / F.lit(2.0),
-    }
-    # Below this point are the raw measurements, which every query needs some of.
-    struct = F.struct(*(value.alias(name) for name, value in raw.items()))
-    once = expand_once(rest, struct, "event_id", "timestamp", "region", "hour_of_day")
-    measured = once.withColumns(
-        {
-            "grid_id": F.concat(
-                F.upper("region"), F.lit("-GRID-"), (i % 5 + 1).cast("string")
-            ),
-            "generation_mw": F.struct(*SOURCES),
-        }
+    measured = once.selectExpr(
+        "*",
+        "upper(region) || '-GRID-' || (event_id % 5 + 1) AS grid_id",
+        f"struct({', '.join(SOURCES)}) AS generation_mw",
     )
     total = F.col("total_generation_mw")
     derived = (

@@ -1,6 +1,6 @@
 """Command line of the standing jobs.
 
-    spark-submit ... -m wattspan.streaming.jobs processor --servers host:port \\
+    spark-submit ... wattspan/streaming/jobs.py processor --servers host:port \\
         --topic readings --checkpoints /shared/checkpoints --output processed
 
 The Kafka and search-index connectors are Spark packages that the cluster
