@@ -3,15 +3,21 @@
 import pytest
 
 import __spark_entry__ as driver
+from wattspan.plans import catalog, oracles
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = oracles.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(name, spark, sf_dir, duck):
     result = QUERIES[name](spark, sf_dir)
