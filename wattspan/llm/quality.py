@@ -49,9 +49,12 @@ def features(text: str | None) -> np.ndarray:
     return result
 
 
-@F.pandas_udf("array<float>")
-def feature_column(texts: pd.Series) -> pd.Series:
-    return pd.Series([features(t) for t in texts])
+def feature_column(text: str) -> Column:
+    @F.pandas_udf("array<float>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t) for t in texts])
+
+    return found(text)
 
 
 @dataclass
