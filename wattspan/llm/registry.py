@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from wattspan.llm import decontamination, packing, token_counts, token_files, url_filter
+from wattspan.llm import (
+    decontamination,
+    jaccard_join,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+    vector_search,
+)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_url_filter": url_filter.op3_url_filter,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_quality": quality.op6_quality,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_token_files": token_files.op9_token_files,
+    "op10_vector_search": vector_search.op10_vector_search,
 }
 
 ORACLES = {
