@@ -7,6 +7,7 @@ from wattspan.llm import (
     jaccard_join,
     packing,
     quality,
+    substring_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -22,6 +23,7 @@ QUERIES = {
     "op5_decontamination": decontamination.op5_decontamination,
     "op6_quality": quality.op6_quality,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_vector_search": vector_search.op10_vector_search,
 }
