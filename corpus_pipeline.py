@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import stage, table
+from wattspan.llm.common import keep_rows, stage, table
 from wattspan.llm.decontamination import scan
 from wattspan.llm.jaccard_join import jaccard_join
 from wattspan.llm.packing import pack, token_pieces
@@ -27,9 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, that of the least id."""
-    first = jaccard_join(docs).where("is_first").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = F.col("doc_id").cast("long").eqNullSafe(F.col("first_id"))
-    return docs.dropDuplicates(["doc_id", "text"]).join(first, kept, "left_semi")
+    first = jaccard_join(docs).where("is_first")
+    return keep_rows(docs, first, once=True)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +39,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     found = scan(docs, table(spark, sf_dir, "benchmark"))
-    dirty = found.where("size(spans) > 0").select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").cast("long").eqNullSafe(F.col("dirty_id")), "left_anti")
+    return keep_rows(docs, found.where("size(spans) > 0"), "left_anti")
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import LOWER, UPPER, WORD, stage, table
+from wattspan.llm.common import LOWER, UPPER, WORD, digest, stage, table
 
 WINDOW = 10
 # A set of hashes travels in the plan up to this many; a larger benchmark is joined.
@@ -83,7 +83,7 @@ def _hits(split: DataFrame, grams: DataFrame, sizes: list[int], count: int) -> D
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id``, ``n_words``, ``spans`` and ``items`` of every row of ``docs``.
+    """``doc_id``, ``digest``, ``n_words``, ``spans`` and ``items`` of every row of ``docs``.
 
     ``spans`` are the verified windows (first word from 0, words), ``items`` the ids of the
     items found, in order as strings. A null or empty text has no words. Repeated rows and
@@ -95,11 +95,13 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     count = grams.count()
     split = docs.select(
         F.col("doc_id").cast("long"),
+        digest(F.col("text")).alias("digest"),
         F.coalesce(words(F.col("text")), F.expr("CAST(array() AS array<string>)")).alias("w"),
     )
     hit = _hits(split, grams, sizes, count).select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
+        "digest",
         F.size("w").cast("long").alias("n_words"),
         F.expr("transform(hits, x -> named_struct('at', x.at - 1, 'size', x.size, 'gram', concat_ws(' ', slice(w, x.at, x.size))))").alias("hits"),
     )
@@ -109,13 +111,13 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     no_spans = F.expr("CAST(array() AS array<struct<at:int,size:int>>)")
     no_items = F.expr("CAST(array() AS array<string>)")
     clean = scanned.where("size(hits) = 0").select(
-        "doc_id", "n_words", no_spans.alias("spans"), no_items.alias("items")
+        "doc_id", "digest", "n_words", no_spans.alias("spans"), no_items.alias("items")
     )
     rows = scanned.where("size(hits) > 0").withColumn("hit", F.explode("hits"))
-    rows = rows.select("row", "doc_id", "n_words", "hit.at", "hit.size", "hit.gram")
+    rows = rows.select("row", "doc_id", "digest", "n_words", "hit.at", "hit.size", "hit.gram")
     verified = rows.join(grams.withColumnRenamed("size", "gram_size"), "gram", "left")
     span = F.when(F.col("item_id").isNotNull(), F.struct("at", "size"))
-    dirty = verified.groupBy("row", "doc_id", "n_words").agg(
+    dirty = verified.groupBy("row", "doc_id", "digest", "n_words").agg(
         F.sort_array(F.collect_set(span)).alias("spans"),
         F.sort_array(F.collect_set("item_id")).alias("items"),
     )

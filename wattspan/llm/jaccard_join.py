@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import WordHashes, shingle_hashes, stage, table, words_of
+from wattspan.llm.common import WordHashes, digest, shingle_hashes, stage, table, words_of
 from wattspan.llm.graph import components
 
 SHINGLE = 5
@@ -201,7 +201,7 @@ def jaccard_join(
     rows: int = ROWS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """``doc_id``, ``class_id``, ``n_links`` and ``is_first`` for each row of ``docs``.
+    """``doc_id``, ``class_id``, ``n_links``, ``is_first`` and ``digest`` for each row of ``docs``.
 
     Two documents are linked when the sets of their word ``shingle``-grams have a Jaccard
     similarity of at least ``threshold``; a shorter text is one gram of all its words.
@@ -209,9 +209,9 @@ def jaccard_join(
     component of links, and ``class_id`` the least id in it; ``is_first`` marks one row of
     the class, which has that id. A text without words, or null, is linked to nothing and a
     class of its own. Null ids count as greater than others. ``docs`` needs ``doc_id`` and
-    ``text``; other columns are ignored.
+    ``text``; other columns are ignored. ``digest`` is that of :func:`common.digest`.
     """
-    chosen = docs.select(F.col("doc_id").cast("long"), F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+    chosen = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
     signed = _sign(chosen, shingle, bands * rows)
     signed = stage(signed.withColumn("row", F.monotonically_increasing_id()), "join-signatures")
     worded = signed.where("key IS NOT NULL")
@@ -272,9 +272,10 @@ def jaccard_join(
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         (F.col("key").isNull() | (F.col("head.row") == F.col("row"))).alias("is_first"),
+        "digest",
     )
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates among all ``documents``: five-word grams, similarity 0.8 or more."""
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("digest")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import ASCII_LOWER, WORDS, WordHashes, mix64, shingle_hashes, stage, table, words_of
+from wattspan.llm.common import ASCII_LOWER, WORDS, WordHashes, digest, mix64, shingle_hashes, stage, table, words_of
 
 SHINGLE = 5
 LENGTH = 50
@@ -159,8 +159,7 @@ def repeated_passages(
     null, have no passages. Rows of the same id and text get the same spans. ``docs``
     needs ``doc_id`` and ``text``; other columns are ignored.
     """
-    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    chosen = docs.select(F.col("doc_id").cast("long"), digest.alias("digest"), "text")
+    chosen = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
     passages = _passages(chosen, shingle, length).withColumn("row", F.monotonically_increasing_id())
     passages = stage(passages, "passage-keys")
     keyed = passages.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "place")
@@ -231,11 +230,10 @@ def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
             without_words(t, [(s["start"], s["end"]) for s in own]) for t, own in zip(texts, spans)
         ])
 
-    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     joined = docs.join(
         spans,
         (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.col("span_id"))
-        & (F.col("doc_id").isNull() == F.col("span_none")) & (digest == F.col("span_digest")),
+        & (F.col("doc_id").isNull() == F.col("span_none")) & (digest(F.col("text")) == F.col("span_digest")),
         "left",
     )
     clean = joined.where("repeats IS NULL").select(*[docs[c] for c in docs.columns])

@@ -102,6 +102,8 @@ def rule_index(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     counts: dict[str, int] = {}
     if known:
         wanted = spark.createDataFrame([(t,) for t in known], "token string")
+        if len(known) <= BROADCAST_RULES:
+            wanted = F.broadcast(wanted)
         address = F.concat(host_of(F.col("url")), path_of(F.col("url")))
         held = pages.select(F.explode(_tokens(address)).alias("token"))
         counts = {r[0]: r[1] for r in held.join(wanted, "token").groupBy("token").count().collect()}
