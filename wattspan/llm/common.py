@@ -72,39 +72,6 @@ def keep_rows(
     return (kept.dropDuplicates(key) if once else kept).select(docs.columns)
 
 
-def held_out(doc_id: Column) -> Column:
-    """The fifth of documents that never serve for learning, by the id's CRC."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
-
-
-def words_of(text: str | None) -> list[str]:
-    """Normalised words, the same as the native expression of ``WORD``."""
-    return WORDS.findall(text.translate(ASCII_LOWER)) if text else []
-
-
-def digest(text: Column) -> Column:
-    """A 128-bit key of a text, for finding its rows again; null is as empty."""
-    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
-
-
-def keep_rows(docs: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The rows of ``docs`` that have, or with ``left_anti`` have not, a row in ``rows``.
-
-    ``rows`` names them by ``doc_id``, which may be null, and ``digest`` of the text.
-    """
-    named = rows.select(
-        F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"),
-        F.col("digest").alias("_digest"),
-    ).distinct()
-    own = F.col("doc_id").cast("long")
-    return docs.join(
-        named,
-        (F.coalesce(own, F.lit(0)) == F.col("_id")) & (own.isNull() == F.col("_none"))
-        & (digest(F.col("text")) == F.col("_digest")),
-        how,
-    )
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of unsigned 64-bit numbers (splitmix64's finaliser)."""
     x = x.astype(np.uint64, copy=True)
