@@ -3,8 +3,8 @@
 Over a text's word n-grams, a Cartesian tree of a hash function's values splits all
 subsequences into groups with the same least value: the node at ``c`` of the range
 ``[l, r)`` holds those within the range that contain ``c``. Intersecting the intervals of
-two trees gives the passages of the least length that share two min-hashes, and these pairs
-of values are joined across documents. Candidates are verified on the texts.
+several trees gives the passages of the least length that share all their min-hashes, and
+these values together are joined across documents. Candidates are verified on the texts.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from wattspan.llm.common import ASCII_LOWER, WORDS, WordHashes, digest, mix64, s
 SHINGLE = 5
 LENGTH = 50
 THRESHOLD = 0.8
-# Hash functions are used in pairs; one pair that agrees makes a candidate.
-PAIRS = 2
+# All hash functions must agree on a window to make a candidate. Equal windows always do,
+# windows of similarity s with a chance of s to this power, each time one slides on.
+HASHES = 3
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -47,20 +48,19 @@ def window_minima(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarra
     return first[order], at[order]
 
 
-def passage_keys(shingles: np.ndarray, width: int, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+def passage_keys(shingles: np.ndarray, width: int, hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the groups of ``width`` shingles and the place of a shingle in each."""
-    keys, places = [], []
-    for pair in range(pairs):
-        runs = []
-        for half in range(2):
-            seed = np.uint64(0x9E3779B97F4A7C15 * (2 * pair + half + 1) % 2**64)
-            runs.append(window_minima(mix64(shingles ^ seed), width))
-        starts = np.union1d(runs[0][0], runs[1][0])
-        a, b = (at[np.searchsorted(first, starts, "right") - 1] for first, at in runs)
-        key = mix64(shingles[a] * np.uint64(0xC2B2AE3D27D4EB4F) + shingles[b] + np.uint64(pair))
-        keys.append(key.astype(np.int64))
-        places.append(a.astype(np.int32))
-    return np.concatenate(keys), np.concatenate(places)
+    runs = []
+    for k in range(hashes):
+        seed = np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)
+        runs.append(window_minima(mix64(shingles ^ seed), width))
+    starts = np.unique(np.concatenate([first for first, _ in runs]))
+    key = np.zeros(len(starts), np.uint64)
+    for first, at in runs:
+        held = at[np.searchsorted(first, starts, "right") - 1]
+        key = mix64(key * np.uint64(0xC2B2AE3D27D4EB4F) + shingles[held])
+    place = runs[0][1][np.searchsorted(runs[0][0], starts, "right") - 1]
+    return key.astype(np.int64), place.astype(np.int32)
 
 
 def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
@@ -90,14 +90,21 @@ def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
     return docs.mapInArrow(find, schema)
 
 
+def runs_of(covered: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Starts and ends of the runs of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    yield from zip(edges[::2].tolist(), edges[1::2].tolist())
+
+
 def matching_spans(
     own: np.ndarray, other: np.ndarray, places: np.ndarray, width: int, threshold: float
-) -> Iterator[tuple[int, int, int, int]]:
-    """Runs of shingles of ``own`` and ``other`` along which windows are near-duplicates.
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which shingles of ``own`` and ``other`` lie in windows that are near-duplicates.
 
     Two windows of ``width`` shingles of which ``m`` agree in place have a Jaccard
     similarity of at least ``m / (2 width - m)``. Runs end with shingles that agree.
     """
+    mine, theirs = np.zeros(len(own), bool), np.zeros(len(other), bool)
     needed = int(np.ceil(2 * width * threshold / (1 + threshold) - 1e-9))
     order = np.argsort(other, kind="stable")
     values = own[places]
@@ -117,7 +124,9 @@ def matching_spans(
             for first, last in zip(good[[0, *(cuts + 1)]], good[[*cuts, -1]]):
                 held = np.flatnonzero(equal[first : last + width])
                 start, end = a + first + held[0], a + first + held[-1] + 1
-                yield int(start), int(end), int(start + shift), int(end + shift)
+                mine[start:end] = True
+                theirs[start + shift : end + shift] = True
+    return mine, theirs
 
 
 def _verify(pairs: DataFrame, shingle: int, length: int, threshold: float) -> DataFrame:
@@ -133,9 +142,9 @@ def _verify(pairs: DataFrame, shingle: int, length: int, threshold: float) -> Da
                 row, other, places, x, y = (c[k].as_py() for c in get)
                 x, y = (shingle_hashes(hashes(words_of(t)), shingle) for t in (x, y))
                 places = np.unique(np.array(places))
-                for a, b, c, d in matching_spans(x, y, places, width, threshold):
-                    found.append((row, a, b + shingle - 1, row < other))
-                    found.append((other, c, d + shingle - 1, other < row))
+                mine, theirs = matching_spans(x, y, places, width, threshold)
+                for name, covered, kept in ((row, mine, row < other), (other, theirs, other < row)):
+                    found += [(name, a, b + shingle - 1, kept) for a, b in runs_of(covered)]
             columns = list(zip(*found)) or [[]] * 4
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(

@@ -55,7 +55,7 @@ class ChunkEncoder:
     through the whole tokenizer, and a text with unusual white space goes there unsplit.
     """
 
-    def __init__(self, path: str, spaces: str, limit: int = 700_000) -> None:
+    def __init__(self, path: str, spaces: str, limit: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -39,7 +39,7 @@ class Vocabulary:
     zeros there. :meth:`trim` empties a vocabulary of over ``limit`` words.
     """
 
-    def __init__(self, limit: int = 300_000) -> None:
+    def __init__(self, limit: int = 150_000) -> None:
         self.limit = limit
         self.clear()
 
