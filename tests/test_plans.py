@@ -1,14 +1,11 @@
 """Physical plans, and results that must not depend on the plan chosen."""
 
-from dataclasses import replace
 from datetime import datetime
 
 from conftest import plan_of, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
-from wattspan.config import DEFAULT_CONFIG
 from wattspan.operators import (
     demand_spikes,
     latest_by_key,
@@ -19,7 +16,9 @@ from wattspan.operators import (
     to_messages,
 )
 from wattspan.operators.spikes import join_baseline, stage_baseline
+from wattspan.plans import catalog
 from wattspan.plans.telemetry import readings
+from wattspan.session import session_conf
 from wattspan.sinks import write_lake
 from wattspan.sources import read_lake
 
@@ -57,7 +56,7 @@ def test_lake_limits_with_an_offset(spark, telemetry, tmp_path):
 
 
 def test_no_python_workers_in_any_plan(spark, sf_dir):
-    for name, query in driver.queries().items():
+    for name, query in catalog.QUERIES.items():
         if name.startswith("stream") or "lake" in name:
             continue
         plan = plan_of(query(spark, sf_dir))
@@ -100,26 +99,17 @@ def brute_force_spikes(df, multiplier):
     return named.where(F.col("demand_mw") > multiplier * F.col("hourly_avg_demand_mw"))
 
 
-def test_spikes_equal_brute_force_on_both_join_paths(telemetry):
+def test_spikes_equal_brute_force_on_both_joins(spark, telemetry):
     expected = rows(brute_force_spikes(telemetry, 1.2))
     assert expected
-    small = demand_spikes(telemetry, 1.2)
-    assert "BroadcastHashJoin" in plan_of(small)
-    salted_cfg = replace(DEFAULT_CONFIG, max_broadcast_rows=10, join_salts=4)
-    salted = demand_spikes(telemetry, 1.2, cfg=salted_cfg)
-    assert "_salt" in plan_of(salted)
     columns = telemetry.columns + ["hourly_avg_demand_mw"]
-    assert rows(small, *columns) == expected
-    assert rows(salted, *columns) == expected
+    assert rows(demand_spikes(telemetry, 1.2), *columns) == expected
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert rows(demand_spikes(telemetry, 1.2), *columns) == expected
 
 
-def test_salted_join_spreads_a_hot_hour(spark, telemetry, tmp_path):
-    hot = telemetry.withColumn("timestamp", F.lit("2024-01-01 10:00:00").cast("timestamp"))
-    hot = hot.withColumn("region", F.lit("West")).withColumn("grid_id", F.lit("WEST-GRID-1"))
-    baseline = stage_baseline(hot, str(tmp_path / "b"))
-    cfg = replace(DEFAULT_CONFIG, max_broadcast_rows=0, join_salts=8)
-    with_salt = hot.withColumn(
-        "_salt", F.pmod(F.xxhash64("timestamp", "grid_id", "demand_mw"), F.lit(8))
-    )
-    assert with_salt.select("_salt").distinct().count() == 8
-    assert join_baseline(hot, baseline, cfg).count() == hot.count()
+def test_a_staged_baseline_is_broadcast_by_its_size(spark, telemetry, tmp_path):
+    baseline = stage_baseline(telemetry, str(tmp_path / "b"))
+    joined = join_baseline(telemetry, baseline)
+    assert "BroadcastHashJoin" in plan_of(joined)
+    assert joined.count() == telemetry.count()

@@ -139,12 +139,12 @@ def test_demand_band_of_every_hour(spark):
         assert name == wanted, hour
 
 
-def test_bands_are_half_open_but_for_the_last_edge(spark):
+def test_bands_are_half_open_and_open_at_both_ends(spark):
     df = spark.createDataFrame(
         [(-1.0,), (0.0,), (14.9,), (15.0,), (60.0,), (100.0,), (100.1,), (None,)], "v double"
     )
     got = [r[0] for r in df.select(band("v", RENEWABLE_EDGES)).collect()]
-    assert got == [None, "0-15", "0-15", "15-35", "60-100", "60-100", None, None]
+    assert got == ["0-15", "0-15", "0-15", "15-35", "60-100", "60-100", "60-100", None]
     with pytest.raises(ValueError):
         band("v", (0, 1, 2), ["only one"])
 

@@ -63,9 +63,6 @@ class EngineConfig:
     regional_base_capacity: Mapping[str, float] = field(
         default_factory=lambda: dict(BASE_CAPACITY_MW)
     )
-    # Largest grouped side (rows) that a join may broadcast; above it the join is salted.
-    max_broadcast_rows: int = 500_000
-    join_salts: int = 32
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> EngineConfig:

@@ -21,8 +21,8 @@ def band(
 ) -> Column:
     """Label of the interval ``[edge, next edge)`` that holds ``value``.
 
-    The last interval includes its upper edge, so 100 % has a band. Values
-    outside all edges, and NULL, have none. Labels default to ``"from-to"``.
+    The end bands are open: values below the first edge take the first label, values from
+    the last edge on the last; only NULL has none. Labels default to ``"from-to"``.
     """
     pairs = list(zip(edges, edges[1:]))
     labels = list(labels) if labels else [f"{low}-{high}" for low, high in pairs]
@@ -30,7 +30,6 @@ def band(
         raise ValueError(f"{len(edges)} edges need {len(pairs)} labels, got {len(labels)}")
     value = as_column(value)
     chain = F
-    for index, ((low, high), label) in enumerate(zip(pairs, labels)):
-        below = value <= high if index == len(pairs) - 1 else value < high
-        chain = chain.when((value >= low) & below, label)
-    return chain
+    for (_, high), label in zip(pairs[:-1], labels):
+        chain = chain.when(value < high, label)
+    return chain.when(value.isNotNull(), labels[-1])

@@ -24,27 +24,14 @@ def stage_baseline(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(baseline.schema).parquet(path)
 
 
-def join_baseline(
-    df: DataFrame, baseline: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG
-) -> DataFrame:
+def join_baseline(df: DataFrame, baseline: DataFrame) -> DataFrame:
     """Add ``hourly_avg_demand_mw`` to every reading that has a baseline.
 
-    The baseline is broadcast while it has at most ``cfg.max_broadcast_rows``
-    rows, which its parquet footers tell. Above that both sides are shuffled
-    on region, hour and a salt: a hot hour is spread over ``cfg.join_salts``
-    tasks, and the small side is repeated once per salt.
+    A plain join: Spark broadcasts the baseline while its known size allows, and else
+    AQE splits the task of a hot region and hour.
     """
     readings = df.withColumn("hour_start", F.date_trunc("hour", "timestamp"))
-    if baseline.count() <= cfg.max_broadcast_rows:
-        return readings.join(F.broadcast(baseline), BASELINE_KEYS).drop("hour_start")
-    salt = F.pmod(F.xxhash64("timestamp", "grid_id", "demand_mw"), F.lit(cfg.join_salts))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(cfg.join_salts - 1).cast("bigint"))
-    salted = baseline.withColumn("_salt", F.explode(salts))
-    return (
-        readings.withColumn("_salt", salt)
-        .join(salted, [*BASELINE_KEYS, "_salt"])
-        .drop("hour_start", "_salt")
-    )
+    return readings.join(baseline, BASELINE_KEYS).drop("hour_start")
 
 
 def demand_spikes(
@@ -56,15 +43,15 @@ def demand_spikes(
     """Readings whose demand exceeds ``multiplier`` times their hourly baseline.
 
     In batch the baseline defaults to the average of ``df`` itself over the
-    same region and clock hour, the reading included; the readings are then
-    scanned twice but never shuffled. A stream needs a ``baseline`` table,
+    same region and clock hour, the reading included, within one lazy plan
+    that scans the readings twice. A stream needs a ``baseline`` table,
     as made by :func:`stage_baseline` or
     :func:`~wattspan.operators.windows.hourly_baseline`.
     """
     if baseline is None:
         if df.isStreaming:
             raise ValueError("demand_spikes on a stream needs a baseline table")
-        baseline = stage_baseline(df)
+        baseline = hourly_baseline(df)
     limit = cfg.demand_spike_multiplier if multiplier is None else multiplier
-    joined = join_baseline(df, baseline, cfg)
+    joined = join_baseline(df, baseline)
     return joined.where(F.col("demand_mw") > limit * F.col("hourly_avg_demand_mw"))

@@ -112,16 +112,16 @@ def carbon_heatmap(
     n: int = 10,
     wide: bool = False,
 ) -> DataFrame:
-    """Average carbon intensity per region and window for the first ``n`` regions.
+    """Average carbon intensity per region and window.
 
-    With ``regions`` the cells are those regions', otherwise the first ``n``
+    With ``regions`` the cells are those of all these regions, otherwise the first ``n``
     in name order are looked up. The lookup is at most ``n`` rows, so it is
     broadcast to the aggregated cells. The wide form has one column per region
     and needs ``regions``, so no extra pass is made to find the columns.
     """
     metrics = {"carbon_intensity": "avg(carbon_intensity_gco2_kwh)"}
     if regions is not None:
-        chosen = sorted(regions)[:n]
+        chosen = sorted(regions)
         df = df.where(F.col("region").isin(chosen))
         if wide:
             # One aggregation, where pivot() would make two.

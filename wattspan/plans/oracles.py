@@ -105,15 +105,14 @@ WINDOW_HOURLY = """
          sum(cost) AS total_generation_cost
   FROM readings GROUP BY 1, 2, 3
 """
-ANOMALY_BAND = """CASE WHEN {v} >= 0 AND {v} < 5 THEN '0-5' WHEN {v} >= 5 AND {v} < 15 THEN '5-15'
-  WHEN {v} >= 15 AND {v} <= 999999 THEN '15-999999' END"""
-COST_BAND = """CASE WHEN {v} >= 0 AND {v} < 150000 THEN '0-150000'
-  WHEN {v} >= 150000 AND {v} < 200000 THEN '150000-200000'
-  WHEN {v} >= 200000 AND {v} <= 999999 THEN '200000-999999' END"""
-RENEWABLE_BAND = """CASE WHEN {v} >= 0 AND {v} < 15 THEN '0-15' WHEN {v} >= 15 AND {v} < 35 THEN '15-35'
-  WHEN {v} >= 35 AND {v} < 60 THEN '35-60' WHEN {v} >= 60 AND {v} <= 100 THEN '60-100' END"""
-RESERVE_BAND = """CASE WHEN {v} >= -999 AND {v} < 5 THEN '-999-5' WHEN {v} >= 5 AND {v} < 15 THEN '5-15'
-  WHEN {v} >= 15 AND {v} <= 999 THEN '15-999' END"""
+ANOMALY_BAND = """CASE WHEN {v} < 5 THEN '0-5' WHEN {v} < 15 THEN '5-15'
+  WHEN {v} IS NOT NULL THEN '15-999999' END"""
+COST_BAND = """CASE WHEN {v} < 150000 THEN '0-150000' WHEN {v} < 200000 THEN '150000-200000'
+  WHEN {v} IS NOT NULL THEN '200000-999999' END"""
+RENEWABLE_BAND = """CASE WHEN {v} < 15 THEN '0-15' WHEN {v} < 35 THEN '15-35'
+  WHEN {v} < 60 THEN '35-60' WHEN {v} IS NOT NULL THEN '60-100' END"""
+RESERVE_BAND = """CASE WHEN {v} < 5 THEN '-999-5' WHEN {v} < 15 THEN '5-15'
+  WHEN {v} IS NOT NULL THEN '15-999' END"""
 
 BY_SOURCE = """
 , sums AS (

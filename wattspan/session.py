@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -22,6 +23,12 @@ RUNTIME_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# State of streaming queries, set wherever one starts.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Settings of sessions the engine opens itself. Sizes are left to the cluster;
 # AQE merges or splits shuffle partitions at run time.
 SESSION_CONF = {
@@ -29,8 +36,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_CONF,
 }
 
 
@@ -66,7 +72,7 @@ def shared_root(spark: SparkSession) -> str:
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wattspan-"))
     return spark.sparkContext.getCheckpointDir()

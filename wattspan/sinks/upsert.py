@@ -53,9 +53,7 @@ def index_spec(index: str, **changes) -> UpsertSpec:
 
 
 def write_batch(batch: DataFrame, batch_id: int, spec: UpsertSpec) -> None:
-    """Upsert one batch; an empty one is skipped, before anything is shuffled."""
-    if batch.isEmpty():
-        return
+    """Upsert one batch, which is evaluated once; an empty one writes an empty folder."""
     rows = latest_by_key(batch, spec.keys, spec.order_by)
     if spec.prepare:
         rows = spec.prepare(rows)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from wattspan.session import session_conf
+from wattspan.session import STATE_CONF, session_conf
 
 
 def checkpoint_for(base: str, query_name: str) -> str:
@@ -52,7 +52,7 @@ class Run:
         self, df: DataFrame, target: Callable[[DataStreamWriter], DataStreamWriter]
     ) -> StreamingQuery:
         """Start ``df`` into the sink that ``target`` sets on the writer."""
-        conf = {}
+        conf = dict(STATE_CONF)
         if self.state_partitions:
             conf["spark.sql.shuffle.partitions"] = str(self.state_partitions)
         with session_conf(df.sparkSession, conf):

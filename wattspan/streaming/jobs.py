@@ -21,7 +21,7 @@ from wattspan.sinks.messages import SinkSpec
 from wattspan.sinks.upsert import UpsertSpec, index_spec
 from wattspan.sources.messages import SourceSpec
 from wattspan.streaming.control import await_all
-from wattspan.streaming.pipelines import Jobs
+from wattspan.streaming.pipelines import Jobs, beside
 
 JOBS = ("processor", "indexer", "lake", "alerts")
 
@@ -36,7 +36,7 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--files", action="store_true", help="messages are Parquet files")
     cli.add_argument("--windows", help="processor: folder for the aggregates, else the console")
     cli.add_argument("--mode", default="append", help="processor: output mode of the aggregates")
-    cli.add_argument("--rejects", help="lake: folder for rejected messages")
+    cli.add_argument("--rejects", help="lake, indexer: folder for rejected messages")
     cli.add_argument("--max-per-trigger", type=int, help="rate cap in offsets or files")
     cli.add_argument("--min-partitions", type=int, help="read splits per trigger")
     cli.add_argument("--interval", help="trigger interval; without it, run to the end once")
@@ -63,7 +63,9 @@ def start(spark: SparkSession, arguments: Sequence[str]) -> list[StreamingQuery]
         republished = jobs.republish(SinkSpec(args.output, kind=kind, servers=args.servers))
         return [republished, *jobs.windows(args.windows, args.mode)]
     if args.job == "indexer":
-        return [jobs.index(UpsertSpec(args.output) if args.files else index_spec(args.output))]
+        spec = UpsertSpec(args.output) if args.files else index_spec(args.output)
+        near = args.output if args.files else f"{args.checkpoints.rstrip('/')}/indexer"
+        return [jobs.index(spec), jobs.index_rejects(args.rejects or beside(near))]
     if args.job == "lake":
         return jobs.lake(args.output, args.rejects)
     return [jobs.alerts(args.output)]

@@ -87,17 +87,26 @@ class Jobs:
         """Flat documents, upserted by id."""
         return write_documents(self.messages(), spec, self.run(name))
 
+    def index_rejects(self, path: str) -> StreamingQuery:
+        """Messages whose readings have no id, as they came, to a folder."""
+        messages = self.messages()
+        identity = document_id("region", "grid_id", epoch_ms("timestamp"))
+        bad = parse_readings(messages, messages.columns).where(identity.isNull())
+        return self.run("index-rejects").start(
+            bad.select(messages.columns), lambda w: w.format("parquet").option("path", path)
+        )
+
     def lake(self, path: str, rejects: str | None = None) -> list[StreamingQuery]:
-        """Accepted readings to the lake and, if asked, rejected messages to a folder."""
+        """Accepted readings to the lake, rejected messages to a folder.
+
+        Every message goes to one of them; ``rejects`` defaults to a folder beside the lake.
+        """
         good, bad = split_rejects(self.messages(), self.cfg)
-        started = [write_lake(good, path, self.run("lake"))]
-        if rejects:
-            started.append(
-                self.run("rejects").start(
-                    bad, lambda w: w.format("parquet").option("path", rejects)
-                )
-            )
-        return started
+        target = rejects or beside(path)
+        return [
+            write_lake(good, path, self.run("lake")),
+            self.run("rejects").start(bad, lambda w: w.format("parquet").option("path", target)),
+        ]
 
     def alerts(self, path: str) -> StreamingQuery:
         """Critical alerts as they arrive, one JSON line each."""
@@ -106,6 +115,11 @@ class Jobs:
         )
 
 
+def beside(path: str) -> str:
+    """The folder for what is not written to ``path``."""
+    return f"{path.rstrip('/')}_rejects"
+
+
 def write_windows(
     aggregate: DataFrame, location: str, run: Run, keys: Sequence[str] = WINDOW_KEYS
 ) -> StreamingQuery:
