@@ -111,7 +111,7 @@ def reserve_margin(
 
 
 def demand_band(hour: ColumnOrName) -> Column:
-    """Time-of-day demand band; the tests are made in this order."""
+    """Time-of-day demand band; the tests are made in this order. Hours are fixed values."""
     hour = as_column(hour)
     return (
         F.when(hour.between(8, 10) | hour.between(18, 21), "peak")
@@ -122,7 +122,7 @@ def demand_band(hour: ColumnOrName) -> Column:
 
 
 def temperature_factor(celsius: ColumnOrName) -> Column:
-    """Demand factor for heat above 30 and cold below 5 degrees."""
+    """Demand factor for heat above 30 and cold below 5 degrees. Limits are fixed values."""
     celsius = as_column(celsius)
     return (
         F.when(celsius > 30, 1.0 + (celsius - 30.0) * 0.02)

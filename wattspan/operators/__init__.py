@@ -39,9 +39,11 @@ from wattspan.operators.parse import (
 from wattspan.operators.quality import (
     quality_report,
     revalidate,
+    split_for_lake,
     split_rejects,
     tag_quality,
     validate_source,
+    with_soft_fault,
 )
 from wattspan.operators.spikes import demand_spikes, stage_baseline
 from wattspan.operators.windows import (

@@ -20,36 +20,50 @@ from wattspan.schemas import READING_COLUMNS
 REASON = "reject_reason"
 
 
+def soft_faults(cfg: EngineConfig = DEFAULT_CONFIG) -> dict[str, Column]:
+    """Named faults of a reading that still has its keys and time. No test is NULL."""
+    night = (F.hour("timestamp") < 6) | (F.hour("timestamp") > 20)
+    frequency = F.col("grid_frequency_hz")
+    faults = {
+        "unknown_region": ~F.col("region").isin(*cfg.regions),
+        "frequency_out_of_bounds": ~frequency.between(
+            cfg.frequency_floor_hz, cfg.frequency_ceiling_hz
+        ),
+        "solar_at_night": night & (F.col("generation_mw.Solar") > 0),
+    }
+    return {name: F.coalesce(fault, F.lit(False)) for name, fault in faults.items()}
+
+
+def _first_fault(faults: dict[str, Column]) -> Column:
+    return F.coalesce(*(F.when(fault, name) for name, fault in faults.items()))
+
+
+def with_soft_fault(readings: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Readings, as from the lake, with their first soft fault; NULL without one."""
+    return readings.withColumn(REASON, _first_fault(soft_faults(cfg)))
+
+
 def quality_rules(cfg: EngineConfig = DEFAULT_CONFIG) -> dict[str, Column]:
     """Named faults of a decoded message, most basic first. No test is NULL.
 
     Needs the columns of ``parse_readings(messages, ["value"], keep_bad=True)``.
     """
     blank = F.col("region").isNull() & F.col("grid_id").isNull() & F.col("demand_mw").isNull()
-    night = (F.hour("timestamp") < 6) | (F.hour("timestamp") > 20)
-    frequency = F.col("grid_frequency_hz")
     faults = {
         "empty_message": F.col("value").isNull(),
         "unparsable_json": F.col(BAD_JSON).isNotNull() & blank,
         "bad_field_type": F.col(BAD_JSON).isNotNull(),
         "missing_key": F.col("region").isNull() | F.col("grid_id").isNull(),
         "missing_time": F.col("timestamp").isNull(),
-        "unknown_region": ~F.col("region").isin(*cfg.regions),
-        "frequency_out_of_bounds": ~frequency.between(
-            cfg.frequency_floor_hz, cfg.frequency_ceiling_hz
-        ),
-        "solar_at_night": night & (F.col("generation_mw.Solar") > 0),
     }
-    return {name: F.coalesce(fault, F.lit(False)) for name, fault in faults.items()}
+    hard = {name: F.coalesce(fault, F.lit(False)) for name, fault in faults.items()}
+    return {**hard, **soft_faults(cfg)}
 
 
 def tag_quality(messages: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
     """Decoded messages with the first fault of each, NULL when it has none."""
     decoded = parse_readings(messages, ["value"], keep_bad=True)
-    reason = F.coalesce(
-        *(F.when(fault, name) for name, fault in quality_rules(cfg).items())
-    )
-    return decoded.withColumn(REASON, reason)
+    return decoded.withColumn(REASON, _first_fault(quality_rules(cfg)))
 
 
 def split_rejects(
@@ -66,6 +80,18 @@ def split_rejects(
     return good, rejects
 
 
+def split_for_lake(
+    messages: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`split_rejects`, but readings with no more than a soft fault are kept.
+
+    :func:`with_soft_fault` names their fault again.
+    """
+    tagged = tag_quality(messages, cfg)
+    kept = F.col(REASON).isNull() | F.col(REASON).isin(*soft_faults(cfg))
+    return tagged.where(kept).select(*READING_COLUMNS), tagged.where(~kept).select("value", REASON)
+
+
 def quality_report(messages: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
     """Number of messages by first fault, plus all and accepted, in one row."""
     tagged = tag_quality(messages, cfg)

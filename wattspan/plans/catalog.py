@@ -63,6 +63,7 @@ from wattspan.operators import (
     with_epoch_ms,
     with_event_time,
     with_processed_at,
+    with_soft_fault,
 )
 from wattspan.operators.documents import DOCUMENT_ID, document_id, epoch_ms
 from wattspan.operators.spikes import stage_baseline
@@ -88,6 +89,8 @@ from wattspan.streaming.control import Run
 from wattspan.streaming.pipelines import (
     WINDOW_KEYS,
     WINDOW_STATE_PARTITIONS,
+    Jobs,
+    beside,
     write_documents,
     write_windows,
 )
@@ -558,6 +561,20 @@ def validate_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_source(messages(spark, sf_dir))
 
 
+@query
+def stream_lake_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the lake job puts each message of a topic, counted by fault."""
+    topic, lake = work_path(spark, "topic"), work_path(spark, "lake")
+    _faulty_messages(spark, sf_dir).repartition(4).write.parquet(topic)
+    source = SourceSpec(topic, kind="parquet", max_per_trigger=1)
+    for started in Jobs(spark, source, work_path(spark, "checkpoints")).lake(lake):
+        started.awaitTermination()
+    kept = with_soft_fault(read_lake(spark, lake)).select(F.lit("lake").alias("target"), "reject_reason")
+    bad = spark.read.schema("value STRING, reject_reason STRING").parquet(beside(lake))
+    both = kept.unionByName(bad.select(F.lit("rejects").alias("target"), "reject_reason"))
+    return both.groupBy("target", "reject_reason").agg(F.count("*").alias("messages"))
+
+
 # --- streams and spikes ------------------------------------------------------
 
 

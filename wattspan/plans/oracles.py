@@ -308,6 +308,10 @@ BODIES = {
     + """SELECT reason AS reject_reason, count(*) AS messages,
         count(*) FILTER (WHERE reason <> 'empty_message') AS with_text
         FROM judged WHERE reason IS NOT NULL GROUP BY 1""",
+    "stream_lake_all": FAULTS
+    + """SELECT CASE WHEN reason IS NULL OR reason IN ('unknown_region',
+          'frequency_out_of_bounds', 'solar_at_night') THEN 'lake' ELSE 'rejects' END AS target,
+        reason AS reject_reason, count(*) AS messages FROM judged GROUP BY 1, 2""",
     "accepted": FAULTS
     + f"""SELECT {FLAT_READING} FROM (
         SELECT * REPLACE (CASE WHEN i % 50 = 8 THEN 10e0 ELSE solar END AS solar)

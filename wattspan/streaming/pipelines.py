@@ -19,7 +19,7 @@ from wattspan.operators.documents import (
     with_epoch_ms,
 )
 from wattspan.operators.parse import parse_readings, with_processed_at
-from wattspan.operators.quality import split_rejects
+from wattspan.operators.quality import split_for_lake
 from wattspan.operators.windows import (
     WINDOW_FIELDS,
     flat_window,
@@ -97,11 +97,12 @@ class Jobs:
         )
 
     def lake(self, path: str, rejects: str | None = None) -> list[StreamingQuery]:
-        """Accepted readings to the lake, rejected messages to a folder.
+        """Readings to the lake, messages that cannot be filed there to a folder.
 
         Every message goes to one of them; ``rejects`` defaults to a folder beside the lake.
+        Readings with a soft fault, such as an unknown region, are in the lake.
         """
-        good, bad = split_rejects(self.messages(), self.cfg)
+        good, bad = split_for_lake(self.messages(), self.cfg)
         target = rejects or beside(path)
         return [
             write_lake(good, path, self.run("lake")),
