@@ -218,3 +218,50 @@ def test_the_pipeline_keeps_its_contract(spark, sf_dir):
     assert packed.select("doc_id").distinct().join(docs, "doc_id", "left_anti").count() == 0
     for name, step in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[3:4]:
         assert step(spark, docs, sf_dir).columns == docs.columns, name
+
+
+def test_hashed_words_are_those_of_the_words():
+    from wattspan.llm import common
+
+    long_word, rest = "x" * 70_000, " ".join(f"Wörd{k} {k}" for k in range(20_000))
+    for text in [t for _, t, _ in TEXTS] + [f"{rest} {long_word} {long_word}y {rest}", "a", " a ", "ÀÉ a-B_c"]:
+        words, hashes = words_of(text), common.hashed_words(text)
+        assert len(words) == len(hashes)
+        assert len(set(words)) == len(set(hashes.tolist())) == len(set(zip(words, hashes.tolist())))
+
+
+def test_spans_of_repetitive_texts_equal_all_shifts():
+    from wattspan.llm.substring_dedup import matching_spans
+
+    random = np.random.default_rng(3)
+    for _ in range(30):
+        line = random.integers(0, 40, 15)
+        own, other = (np.concatenate([np.tile(line, random.integers(1, 9)), random.integers(0, 40, 90)]) for _ in "ab")
+        places, width, needed = np.arange(0, len(own), 7), 20, 18
+        mine, theirs = np.zeros(len(own), bool), np.zeros(len(other), bool)
+        shifts = {int(q - p) for p in places for q in np.flatnonzero(other == own[p])}
+        for shift in shifts:
+            same = [k for k in range(len(own)) if 0 <= k + shift < len(other) and own[k] == other[k + shift]]
+            for low in range(max(0, -shift), min(len(own), len(other) - shift) - width + 1):
+                held = [k for k in same if low <= k < low + width]
+                if len(held) >= needed:
+                    mine[held[0] : held[-1] + 1] = True
+                    theirs[held[0] + shift : held[-1] + 1 + shift] = True
+        got = matching_spans(own, other, places, width, 0.8)
+        assert (got[0][mine]).all() and (got[1][theirs]).all()
+
+
+def test_copies_are_whole_repeats(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    other = f"{passage} and then some more"
+    table = spark.createDataFrame(
+        [(1, passage), (2, passage), (3, other), (4, other), (5, passage), (5, passage), (6, "short"), (7, "short")],
+        "doc_id long, text string",
+    ).coalesce(1)
+    found = repeated_passages(table)
+    got = sorted((r.doc_id, [tuple(s) for s in r.repeats], len(r.originals) > 0) for r in found.collect())
+    assert got == [(1, [], True), (2, [(0, 60)], False), (3, [(0, 60)], True), (4, [(0, 64)], False),
+                   (5, [(0, 60)], False), (5, [(0, 60)], False), (6, [], False), (7, [], False)]
+    assert sorted(r.doc_id for r in remove_repeats(table, found).collect()) == [1, 3, 6, 7]
+    twice = spark.createDataFrame([(1, passage), (1, passage)], "doc_id long, text string").coalesce(1)
+    assert remove_repeats(twice, repeated_passages(twice)).count() == 2

@@ -44,6 +44,49 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.translate(ASCII_LOWER)) if text else []
 
 
+# A byte of a word is part of a digit, of a-z or of a character beyond ASCII. Words are
+# hashed as polynomials of random codes of their bytes, whose base has an inverse.
+WORD_BYTES = np.array([chr(b).isdigit() or "a" <= chr(b) <= "z" or b > 0x7F for b in range(256)])
+BYTE_CODES = np.random.default_rng(5).integers(1, 2**64, 256, dtype=np.uint64)
+BASE = 0x9E3779B97F4A7C15
+BYTES_AT_ONCE = 1 << 16
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    factors = np.full(count, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+UP, DOWN = _powers(BASE, BYTES_AT_ONCE), _powers(pow(BASE, -1, 2**64), BYTES_AT_ONCE)
+
+
+def hashed_words(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words of :func:`words_of`, made without the words.
+
+    Long texts are hashed in blocks of whole words, of about ``BYTES_AT_ONCE`` bytes.
+    """
+    # Bytes have their ASCII letters alone lowered.
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    edges = np.flatnonzero(np.diff(WORD_BYTES[raw], prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    found, low = [np.zeros(0, np.uint64)], 0
+    while low < len(starts):
+        base = starts[low]
+        high = max(low + 1, int(np.searchsorted(ends, base + BYTES_AT_ONCE, "right")))
+        part = raw[base : ends[high - 1]]
+        size = len(part)
+        up, down = UP[:size], DOWN[:size]
+        if size > BYTES_AT_ONCE:  # one long word
+            up, down = _powers(BASE, size), DOWN[:1]
+        total = np.zeros(size + 1, np.uint64)
+        np.cumsum(BYTE_CODES[part] * up, out=total[1:])
+        first = starts[low:high] - base
+        found.append((total[ends[low:high] - base] - total[first]) * down[first])
+        low = high
+    return mix64(np.concatenate(found))
+
+
 def digest(text: Column) -> Column:
     """A 128-bit key of a text, for finding its rows again; null is as empty."""
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
@@ -110,5 +153,5 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     count = len(hashes) - size + 1
     total = np.zeros(count, np.uint64)
     for k in range(size):
-        total = mix64(total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + count])
-    return total
+        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + count]
+    return mix64(total)

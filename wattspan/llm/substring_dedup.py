@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import ASCII_LOWER, WORDS, WordHashes, digest, mix64, shingle_hashes, stage, table, words_of
+from wattspan.llm.common import ASCII_LOWER, WORDS, digest, hashed_words, mix64, shingle_hashes, stage, table
 
 SHINGLE = 5
 LENGTH = 50
@@ -67,17 +67,16 @@ def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
     width = length - shingle + 1
 
     def find(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batch_iter:
             counts, keys, places = [], [], []
             for text in batch.column(2):
-                words = words_of(text.as_py())
+                words = hashed_words(text.as_py())
                 counts.append(len(words))
                 if len(words) < length:
                     keys.append([])
                     places.append([])
                 else:
-                    key, place = passage_keys(shingle_hashes(hashes(words), shingle), width)
+                    key, place = passage_keys(shingle_hashes(words, shingle), width)
                     keys.append(key)
                     places.append(place)
             yield pa.RecordBatch.from_arrays(
@@ -112,11 +111,15 @@ def matching_spans(
     high = np.searchsorted(other[order], values, "right")
     count = high - low
     at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-    for shift in np.unique(order[at] - np.repeat(places, count)):
+    shifts = np.unique(order[at] - np.repeat(places, count))
+    # In mixed order, the shifts of repetitive texts soon cover all that the rest could.
+    for shift in shifts[np.argsort(mix64(shifts))]:
         a, b = max(0, -shift), min(len(own), len(other) - shift)
-        if b - a < width:
+        if b - a < width or mine[a:b].all() and theirs[a + shift : b + shift].all():
             continue
         equal = own[a:b] == other[a + shift : b + shift]
+        if np.count_nonzero(equal) < needed:
+            continue
         sums = np.concatenate([[0], np.cumsum(equal)])
         good = np.flatnonzero(sums[width:] - sums[:-width] >= needed)
         if len(good):
@@ -134,13 +137,17 @@ def _verify(pairs: DataFrame, shingle: int, length: int, threshold: float) -> Da
     width = length - shingle + 1
 
     def verify(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        last = None
         for batch in batch_iter:
             found = []
             get = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "other", "places", "row_text", "other_text")]
             for k in range(batch.num_rows):
-                row, other, places, x, y = (c[k].as_py() for c in get)
-                x, y = (shingle_hashes(hashes(words_of(t)), shingle) for t in (x, y))
+                row, other, places = (c[k].as_py() for c in get[:3])
+                x = shingle_hashes(hashed_words(get[3][k].as_py()), shingle)
+                # The join before has sorted the pairs by the other document.
+                if last is None or last[0] != other:
+                    last = (other, shingle_hashes(hashed_words(get[4][k].as_py()), shingle))
+                y = last[1]
                 places = np.unique(np.array(places))
                 mine, theirs = matching_spans(x, y, places, width, threshold)
                 for name, covered, kept in ((row, mine, row < other), (other, theirs, other < row)):
@@ -164,9 +171,9 @@ def repeated_passages(
     repeat. Passages are compared by windows of ``length`` words whose word
     ``shingle``-grams have a Jaccard similarity of at least ``threshold``; all that share
     a key are compared with the first and the last of them, which keeps hot passages linear. The
-    order of rows is that of the input's partitions. Texts with fewer words, empty or
-    null, have no passages. Rows of the same id and text get the same spans. ``docs``
-    needs ``doc_id`` and ``text``; other columns are ignored.
+    order of rows is that of the input's partitions. An exact copy of an earlier text is one
+    repeat as a whole, and no original. Texts with fewer words, empty or null, have no
+    passages. ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.
     """
     chosen = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
     passages = _passages(chosen, shingle, length).withColumn("row", F.monotonically_increasing_id())
@@ -179,6 +186,19 @@ def repeated_passages(
     hits = hits.where("row <> other").groupBy("row", "other").agg(F.collect_set("place").alias("places"))
     pairs = stage(hits, "passage-pairs")
 
+    # Copies of a text have its keys: the first of them stands for all.
+    long = passages.where(F.col("n_words") >= length).select("row", "digest", "n_words")
+    firsts = long.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    firsts = stage(firsts.where("n > 1").drop("n"), "passage-copies")
+    copies = stage(long.join(firsts, "digest").where("row <> first").drop("digest"), "passage-copies")
+    for name in ("row", "other"):
+        known = copies.select(F.col("row").alias(name), "first")
+        pairs = pairs.join(known, name, "left").withColumn(name, F.coalesce("first", name)).drop("first")
+    pairs = pairs.where("row <> other").groupBy("row", "other").agg(
+        F.array_distinct(F.flatten(F.collect_set("places"))).alias("places")
+    )
+    pairs = stage(pairs, "passage-pairs")
+
     names = passages.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest")
     texts = chosen.select(
         F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest", "text"
@@ -190,6 +210,9 @@ def repeated_passages(
         return named.join(texts, ["id", "none", "digest"]).drop("id", "none", "digest").withColumnRenamed("text", f"{row}_text")
 
     spans = _verify(with_text(with_text(pairs, "row"), "other"), shingle, length, threshold)
+    whole = F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")
+    spans = spans.unionByName(copies.select("row", *whole, F.lit(False).alias("kept")))
+    spans = spans.unionByName(copies.select(F.col("first").alias("row"), *whole, F.lit(True).alias("kept")))
     spans = spans.dropDuplicates(["row", "start", "end", "kept"])
     span = F.struct("start", "end")
     spans = spans.groupBy("row").agg(
@@ -224,12 +247,13 @@ def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` with the repeated passages cut from their ``text``; all columns stay.
 
     ``passages`` comes from :func:`repeated_passages` on the same table. A document of
-    which nothing but repeats was left is dropped; null and empty texts stay.
+    which nothing but repeats was left is dropped; null and empty texts stay. Rows of the
+    same id and text are treated alike, as the one of them with the fewest repeated words.
     """
-    spans = passages.where("size(repeats) > 0").select(
+    spans = passages.groupBy(
         F.coalesce("doc_id", F.lit(0)).alias("span_id"), F.col("doc_id").isNull().alias("span_none"),
-        F.col("digest").alias("span_digest"), "repeats",
-    ).dropDuplicates(["span_id", "span_none", "span_digest"])
+        F.col("digest").alias("span_digest"),
+    ).agg(F.min_by("repeats", words_in(F.col("repeats"))).alias("repeats")).where("size(repeats) > 0")
 
     @F.pandas_udf("string")
     def cut(texts, spans):
