@@ -72,12 +72,11 @@ class EngineConfig:
         ``thresholds``, ``carbon_coefficients``, ``generation_costs`` and
         ``regional_base_capacity``; other sections are left to the caller.
         """
-        known = {f.name for f in fields(cls)}
-        values: dict[str, Any] = {
-            name: float(limit)
-            for name, limit in (raw.get("thresholds") or {}).items()
-            if name in known
-        }
+        known = {f.name for f in fields(cls) if f.type == "float"}
+        limits = raw.get("thresholds") or {}
+        if unknown := sorted(set(limits) - known):
+            raise ValueError(f"unknown thresholds: {', '.join(unknown)}")
+        values: dict[str, Any] = {name: float(limit) for name, limit in limits.items()}
         if raw.get("regions"):
             values["regions"] = tuple(raw["regions"])
         if raw.get("generation_types"):

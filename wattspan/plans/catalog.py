@@ -67,6 +67,7 @@ from wattspan.operators import (
 )
 from wattspan.operators.documents import DOCUMENT_ID, document_id, epoch_ms
 from wattspan.operators.spikes import stage_baseline
+from wattspan.operators.windows import WINDOW_FIELDS
 from wattspan.plans.telemetry import (
     identities,
     messages,
@@ -112,15 +113,26 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------
 
 
+def _in_turn(df: DataFrame, time: str, parts: int = 4) -> list[DataFrame]:
+    """``df`` in ``parts`` stretches of time, the earliest first; rows without one are in it."""
+    first, last = df.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return [df]
+    at, cuts = F.col(time), [first + (last - first) * k / parts for k in range(1, parts)]
+    middle = [(at >= a) & (at < b) for a, b in zip(cuts, cuts[1:])]
+    return [df.where(c) for c in (at.isNull() | (at < cuts[0]), *middle, at >= cuts[-1])]
+
+
 @query
 def stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed messages published, then read as a rate-limited stream and decoded."""
+    """Keyed messages published in turn, read as a rate-limited, restarted stream and decoded."""
     topic, out = work_path(spark, "topic"), work_path(spark, "decoded")
-    write_messages(readings(spark, sf_dir), SinkSpec(topic, kind="parquet"))
-    source = read_stream(spark, SourceSpec(topic, kind="parquet", max_per_trigger=256))
-    decoded = parse_readings(source, keep=["key"])
     run = Run("stream_source", work_path(spark, "checkpoints"))
-    run.start(decoded, lambda w: w.format("parquet").option("path", out)).awaitTermination()
+    for part in _in_turn(readings(spark, sf_dir), "timestamp"):
+        write_messages(part, SinkSpec(topic, kind="parquet"))
+        source = read_stream(spark, SourceSpec(topic, kind="parquet", max_per_trigger=256))
+        decoded = parse_readings(source, keep=["key"])
+        run.start(decoded, lambda w: w.format("parquet").option("path", out)).awaitTermination()
     return flatten_readings(spark.read.schema(decoded.schema).parquet(out))
 
 
@@ -205,17 +217,18 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages sent twice pass once, with state bounded by the watermark."""
+    """Messages sent twice pass once, in a restarted stream whose watermark bounds its state."""
     topic, out = work_path(spark, "topic"), work_path(spark, "unique")
     first = readings(spark, sf_dir, keep_id=True)
     again = first.where(F.col("event_id") % 10 == 0)
-    write_messages(first.unionByName(again).drop("event_id"), SinkSpec(topic, kind="parquet"))
-    decoded = parse_readings(read_stream(spark, SourceSpec(topic, kind="parquet")))
-    identity = document_id("region", "grid_id", epoch_ms("timestamp"))
-    unique = first_by_key(decoded.withColumn(DOCUMENT_ID, identity), [DOCUMENT_ID], "1 hour")
-    slim = unique.select(DOCUMENT_ID, "timestamp", "region", "demand_mw")
     run = Run("stream_dedupe", work_path(spark, "checkpoints"))
-    run.start(slim, lambda w: w.format("parquet").option("path", out)).awaitTermination()
+    for part in _in_turn(first.unionByName(again).drop("event_id"), "timestamp"):
+        write_messages(part, SinkSpec(topic, kind="parquet"))
+        decoded = parse_readings(read_stream(spark, SourceSpec(topic, kind="parquet")))
+        identity = document_id("region", "grid_id", epoch_ms("timestamp"))
+        unique = first_by_key(decoded.withColumn(DOCUMENT_ID, identity), [DOCUMENT_ID], "1 hour")
+        slim = unique.select(DOCUMENT_ID, "timestamp", "region", "demand_mw")
+        run.start(slim, lambda w: w.format("parquet").option("path", out)).awaitTermination()
     return spark.read.schema(slim.schema).parquet(out)
 
 
@@ -605,9 +618,16 @@ def stream_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five-minute windows in append mode: those the watermark has closed."""
-    aggregate = regional_window(stream_readings(spark, sf_dir))
-    return _five_minutes(_windows(spark, aggregate, "stream_window_append", "append"))
+    """Five-minute windows of a restarted stream in append mode: those the watermark has closed."""
+    topic, out = work_path(spark, "topic"), work_path(spark, "stream_window_append")
+    checkpoints = work_path(spark, "checkpoints")
+    run = Run("stream_window_append", checkpoints, "append", None, WINDOW_STATE_PARTITIONS)
+    for part in _in_turn(readings(spark, sf_dir), "timestamp"):
+        write_messages(part, SinkSpec(topic, kind="parquet"))
+        messages_in = read_stream(spark, SourceSpec(topic, kind="parquet"))
+        aggregate = regional_window(parse_readings(messages_in, fields=WINDOW_FIELDS))
+        write_windows(aggregate, out, run).awaitTermination()
+    return _five_minutes(spark.read.schema(flat_window(aggregate).schema).parquet(out))
 
 
 @query
