@@ -95,20 +95,32 @@ def runs_of(covered: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(edges[::2].tolist(), edges[1::2].tolist())
 
 
+def in_order(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the shingles by value, and the values."""
+    order = np.argsort(shingles, kind="stable")
+    return order, shingles[order]
+
+
 def matching_spans(
-    own: np.ndarray, other: np.ndarray, places: np.ndarray, width: int, threshold: float
+    own: np.ndarray,
+    other: np.ndarray,
+    places: np.ndarray,
+    width: int,
+    threshold: float,
+    index: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Which shingles of ``own`` and ``other`` lie in windows that are near-duplicates.
 
     Two windows of ``width`` shingles of which ``m`` agree in place have a Jaccard
     similarity of at least ``m / (2 width - m)``. Runs end with shingles that agree.
+    ``index`` is ``in_order(other)`` where that is known already.
     """
     mine, theirs = np.zeros(len(own), bool), np.zeros(len(other), bool)
     needed = int(np.ceil(2 * width * threshold / (1 + threshold) - 1e-9))
-    order = np.argsort(other, kind="stable")
+    order, ranked = index or in_order(other)
     values = own[places]
-    low = np.searchsorted(other[order], values, "left")
-    high = np.searchsorted(other[order], values, "right")
+    low = np.searchsorted(ranked, values, "left")
+    high = np.searchsorted(ranked, values, "right")
     count = high - low
     at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
     shifts = np.unique(order[at] - np.repeat(places, count))
@@ -146,10 +158,11 @@ def _verify(pairs: DataFrame, shingle: int, length: int, threshold: float) -> Da
                 x = shingle_hashes(hashed_words(get[3][k].as_py()), shingle)
                 # The join before has sorted the pairs by the other document.
                 if last is None or last[0] != other:
-                    last = (other, shingle_hashes(hashed_words(get[4][k].as_py()), shingle))
-                y = last[1]
+                    y = shingle_hashes(hashed_words(get[4][k].as_py()), shingle)
+                    last = (other, y, in_order(y))
+                y, index = last[1:]
                 places = np.unique(np.array(places))
-                mine, theirs = matching_spans(x, y, places, width, threshold)
+                mine, theirs = matching_spans(x, y, places, width, threshold, index)
                 for name, covered, kept in ((row, mine, row < other), (other, theirs, other < row)):
                     found += [(name, a, b + shingle - 1, kept) for a, b in runs_of(covered)]
             columns = list(zip(*found)) or [[]] * 4
