@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from wattspan.llm import registry
-from wattspan.llm.common import words_of
+from wattspan.llm.common import shingle_hashes, words_of
 from wattspan.llm.decontamination import hit_words, scan
 from wattspan.llm.jaccard_join import jaccard_join, needed_matches
 from wattspan.llm.packing import pack, sequences, shortest_pack_first, token_pieces
@@ -265,3 +265,19 @@ def test_copies_are_whole_repeats(spark):
     assert sorted(r.doc_id for r in remove_repeats(table, found).collect()) == [1, 3, 6, 7]
     twice = spark.createDataFrame([(1, passage), (1, passage)], "doc_id long, text string").coalesce(1)
     assert remove_repeats(twice, repeated_passages(twice)).count() == 2
+
+
+def test_edited_passages_become_candidates():
+    from wattspan.llm.substring_dedup import LENGTH, SHINGLE, passage_keys
+
+    random, width, runs = np.random.default_rng(5), LENGTH - SHINGLE + 1, 300
+    # Words of a passage and words replaced in it: its windows have a similarity of 0.8 or more.
+    for size, edits, least in ((51, 1, 0.9), (60, 1, 0.95), (80, 2, 0.97), (100, 3, 0.98)):
+        found = 0
+        for _ in range(runs):
+            one, two = (random.integers(0, 2**63, 300) for _ in "ab")
+            two[120 : 120 + size] = one[100 : 100 + size]
+            two[120 + (np.arange(1, edits + 1) * size) // (edits + 1)] = random.integers(0, 2**63, edits)
+            keys = [passage_keys(shingle_hashes(x.astype(np.uint64), SHINGLE), width)[0] for x in (one, two)]
+            found += len(np.intersect1d(*keys)) > 0
+        assert found >= least * runs, (size, found / runs)

@@ -3,8 +3,8 @@
 Over a text's word n-grams, a Cartesian tree of a hash function's values splits all
 subsequences into groups with the same least value: the node at ``c`` of the range
 ``[l, r)`` holds those within the range that contain ``c``. Intersecting the intervals of
-several trees gives the passages of the least length that share all their min-hashes, and
-these values together are joined across documents. Candidates are verified on the texts.
+two trees gives the passages of the least length that share two min-hashes, and these pairs
+of values are joined across documents. Candidates are verified on the texts.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from wattspan.llm.common import ASCII_LOWER, WORDS, digest, hashed_words, mix64,
 SHINGLE = 5
 LENGTH = 50
 THRESHOLD = 0.8
-# All hash functions must agree on a window to make a candidate. Equal windows always do,
-# windows of similarity s with a chance of s to this power, each time one slides on.
-HASHES = 3
+# Hash functions are used in pairs; one pair that agrees on a window makes a candidate. Equal
+# windows always do, windows of similarity s with a chance of 1 - (1 - s^2)^PAIRS (0.95 at
+# 0.8), each time one slides on.
+PAIRS = 3
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -48,19 +49,20 @@ def window_minima(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarra
     return first[order], at[order]
 
 
-def passage_keys(shingles: np.ndarray, width: int, hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
+def passage_keys(shingles: np.ndarray, width: int, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the groups of ``width`` shingles and the place of a shingle in each."""
-    runs = []
-    for k in range(hashes):
-        seed = np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)
-        runs.append(window_minima(mix64(shingles ^ seed), width))
-    starts = np.unique(np.concatenate([first for first, _ in runs]))
-    key = np.zeros(len(starts), np.uint64)
-    for first, at in runs:
-        held = at[np.searchsorted(first, starts, "right") - 1]
-        key = mix64(key * np.uint64(0xC2B2AE3D27D4EB4F) + shingles[held])
-    place = runs[0][1][np.searchsorted(runs[0][0], starts, "right") - 1]
-    return key.astype(np.int64), place.astype(np.int32)
+    keys, places = [], []
+    for pair in range(pairs):
+        runs = []
+        for half in range(2):
+            seed = np.uint64(0x9E3779B97F4A7C15 * (2 * pair + half + 1) % 2**64)
+            runs.append(window_minima(mix64(shingles ^ seed), width))
+        starts = np.union1d(runs[0][0], runs[1][0])
+        a, b = (at[np.searchsorted(first, starts, "right") - 1] for first, at in runs)
+        key = mix64(shingles[a] * np.uint64(0xC2B2AE3D27D4EB4F) + shingles[b] + np.uint64(pair))
+        keys.append(key.astype(np.int64))
+        places.append(a.astype(np.int32))
+    return np.concatenate(keys), np.concatenate(places)
 
 
 def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
