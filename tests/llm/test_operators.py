@@ -281,3 +281,45 @@ def test_edited_passages_become_candidates():
             keys = [passage_keys(shingle_hashes(x.astype(np.uint64), SHINGLE), width)[0] for x in (one, two)]
             found += len(np.intersect1d(*keys)) > 0
         assert found >= least * runs, (size, found / runs)
+
+
+def test_spans_are_those_of_all_windows_with_similar_sets():
+    from wattspan.llm.substring_dedup import matching_spans
+
+    random = np.random.default_rng(0)
+
+    def edited(base):
+        words = base.tolist()
+        for _ in range(random.integers(0, 4)):
+            at, kind = random.integers(0, len(words)), random.integers(0, 4)
+            if kind == 0:
+                words.insert(at, int(random.integers(0, 10**9)))
+            elif kind == 1:
+                del words[at]
+            elif kind == 2:
+                words[at] = int(random.integers(0, 10**9))
+            else:
+                words = words[at:] + words[:at]
+        return np.concatenate([random.integers(0, 10**9, random.integers(0, 40)), words, random.integers(0, 10**9, 9)]).astype(int)
+
+    pairs = []
+    for _ in range(60):
+        base = random.integers(0, 10**9, random.integers(20, 60))
+        pairs += [(edited(base), edited(base)), tuple(random.integers(0, random.integers(2, 25), 60) for _ in "ab")]
+    for own, other in pairs:
+        mine, theirs, width = np.zeros(len(own), bool), np.zeros(len(other), bool), 20
+        sets = [[set(x[k : k + width].tolist()) for k in range(len(x) - width + 1)] for x in (own, other)]
+        for i, one in enumerate(sets[0]):
+            for j, two in enumerate(sets[1]):
+                if 10 * len(one & two) >= 8 * len(one | two):
+                    for marks, x, at, held in ((mine, own, i, two), (theirs, other, j, one)):
+                        inside = [k for k in range(at, at + width) if x[k] in held]
+                        marks[inside[0] : inside[-1] + 1] = True
+        got = matching_spans(own, other, np.arange(0, len(own), 7), width, 0.8)
+        assert np.array_equal(got[0], mine) and np.array_equal(got[1], theirs)
+    # A passage with one word inserted in its middle, in 5-grams.
+    for size in (60, 80, 88):
+        words = random.integers(0, 2**63, size).astype(np.uint64)
+        longer = np.insert(words, size // 2, np.uint64(1))
+        x, y = (shingle_hashes(w, 5) for w in (words, longer))
+        assert all(m.any() for m in matching_spans(x, y, np.arange(len(x)), 46, 0.8)), size

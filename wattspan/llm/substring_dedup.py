@@ -25,6 +25,8 @@ THRESHOLD = 0.8
 # windows always do, windows of similarity s with a chance of 1 - (1 - s^2)^PAIRS (0.95 at
 # 0.8), each time one slides on.
 PAIRS = 3
+# The verification looks for dense places in a pair of texts by at most so many cells.
+CELLS_AT_ONCE = 4_000_000
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -103,46 +105,216 @@ def in_order(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, shingles[order]
 
 
+def found_in(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are among ``ranked``, which is sorted."""
+    at = np.searchsorted(ranked, values)
+    at[at == len(ranked)] = 0
+    return ranked[at] == values if len(ranked) else np.zeros(len(values), bool)
+
+
+def distinct_counts(order: np.ndarray, ranked: np.ndarray, width: int, chosen: np.ndarray | None = None) -> np.ndarray:
+    """How many distinct values each window of ``width`` holds, of the ``chosen`` places alone."""
+    count = len(order) - width + 1
+    if chosen is not None:
+        order, ranked = order[chosen[order]], ranked[chosen[order]]
+    before = np.full(len(order), -1)
+    same = np.flatnonzero(ranked[1:] == ranked[:-1])
+    before[same + 1] = order[same]
+    # A window counts the first place of a value in it.
+    low, high = np.maximum(order - width, before) + 1, np.minimum(order, count - 1) + 1
+    some = low < high
+    steps = np.bincount(low[some], minlength=count + 1) - np.bincount(high[some], minlength=count + 1)
+    return np.cumsum(steps)[:count]
+
+
+def in_windows(good: np.ndarray, width: int) -> np.ndarray:
+    """Which places lie in a window that is ``good``."""
+    sums = np.concatenate([np.zeros(width, int), np.cumsum(good), np.full(width - 1, good.sum())])
+    return sums[width:] > sums[:-width]
+
+
+class Stretches:
+    """For each value at the chosen places, the stretches of windows that hold it.
+
+    Places of a value that are less than ``width`` apart make one stretch, so that the
+    stretches of a value are disjoint and a line that is repeated has few.
+    """
+
+    def __init__(self, order: np.ndarray, ranked: np.ndarray, chosen: np.ndarray, width: int, count: int) -> None:
+        self.places, self.values = order[chosen[order]], ranked[chosen[order]]
+        fresh = np.ones(len(self.places), bool)
+        fresh[1:] = (self.values[1:] != self.values[:-1]) | (np.diff(self.places) > width)
+        self.firsts = np.flatnonzero(fresh)
+        lasts = np.append(self.firsts[1:], len(self.places)) - 1
+        self.value = self.values[self.firsts]
+        self.low = np.maximum(self.places[self.firsts] - width + 1, 0)
+        self.high = np.minimum(self.places[lasts], count - 1)
+        self.of = np.cumsum(fresh) - 1
+
+    def touched(self, marks: np.ndarray) -> np.ndarray:
+        """Which stretches have a place that is not in ``marks``."""
+        return np.maximum.reduceat(~marks[self.places], self.firsts)
+
+
+def dense_pairs(
+    x: Stretches, y: Stretches, a: np.ndarray, b: np.ndarray, side: int, least_x: np.ndarray, least_y: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pairs of stretches meet where enough do, and ranges of shifts there.
+
+    Pairs of windows fall into square cells by where they start; ``least_x`` and ``least_y``
+    add up to what a cell needs. All cells count when a text is so repetitive that its
+    stretches have very many.
+    """
+    wide, high = x.high[a] // side - x.low[a] // side + 1, y.high[b] // side - y.low[b] // side + 1
+    each = wide * high
+    if each.sum() > CELLS_AT_ONCE:
+        far = np.iinfo(np.int32).max
+        return np.arange(len(a)), np.array([-far]), np.array([far])
+    pair = np.repeat(np.arange(len(a)), each)
+    nth = np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+    row, column = (x.low[a] // side)[pair] + nth // high[pair], (y.low[b] // side)[pair] + nth % high[pair]
+    columns = int(y.high.max()) // side + 1
+    cells, place, counts = np.unique(row * columns + column, return_inverse=True, return_counts=True)
+    dense = counts >= least_x[cells // columns] + least_y[cells % columns] - 1e-9
+    shift = (cells[dense] % columns - cells[dense] // columns) * side
+    return np.unique(pair[dense[place]]), shift - side + 1, shift + side
+
+
 def matching_spans(
     own: np.ndarray,
     other: np.ndarray,
-    places: np.ndarray,
+    places: np.ndarray | None,
     width: int,
     threshold: float,
     index: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Which shingles of ``own`` and ``other`` lie in windows that are near-duplicates.
 
-    Two windows of ``width`` shingles of which ``m`` agree in place have a Jaccard
-    similarity of at least ``m / (2 width - m)``. Runs end with shingles that agree.
+    Those are any two windows of ``width`` shingles whose sets have a Jaccard similarity of
+    at least ``threshold``, in whatever order. Runs end with shingles that both windows
+    have. Shifts of the shingles at ``places`` are tried first, which affects speed only.
     ``index`` is ``in_order(other)`` where that is known already.
     """
     mine, theirs = np.zeros(len(own), bool), np.zeros(len(other), bool)
-    needed = int(np.ceil(2 * width * threshold / (1 + threshold) - 1e-9))
+    n, m = len(own) - width + 1, len(other) - width + 1
+    if n < 1 or m < 1:
+        return mine, theirs
     order, ranked = index or in_order(other)
-    values = own[places]
-    low = np.searchsorted(ranked, values, "left")
-    high = np.searchsorted(ranked, values, "right")
-    count = high - low
-    at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-    shifts = np.unique(order[at] - np.repeat(places, count))
-    # In mixed order, the shifts of repetitive texts soon cover all that the rest could.
-    for shift in shifts[np.argsort(mix64(shifts))]:
-        a, b = max(0, -shift), min(len(own), len(other) - shift)
-        if b - a < width or mine[a:b].all() and theirs[a + shift : b + shift].all():
-            continue
-        equal = own[a:b] == other[a + shift : b + shift]
-        if np.count_nonzero(equal) < needed:
-            continue
-        sums = np.concatenate([[0], np.cumsum(equal)])
-        good = np.flatnonzero(sums[width:] - sums[:-width] >= needed)
-        if len(good):
-            cuts = np.flatnonzero(np.diff(good) > width)
-            for first, last in zip(good[[0, *(cuts + 1)]], good[[*cuts, -1]]):
-                held = np.flatnonzero(equal[first : last + width])
-                start, end = a + first + held[0], a + first + held[-1] + 1
-                mine[start:end] = True
-                theirs[start + shift : end + shift] = True
+    chosen = found_in(own, ranked)
+    # Only windows most of whose values the other text has can have a partner.
+    if np.count_nonzero(chosen) == 0:
+        return mine, theirs
+    own_order, own_ranked = in_order(own)
+    sizes, other_sizes = distinct_counts(own_order, own_ranked, width), distinct_counts(order, ranked, width)
+    able = distinct_counts(own_order, own_ranked, width, chosen) >= threshold * sizes - 1e-9
+    chosen &= in_windows(able, width)
+    if not chosen.any():
+        return mine, theirs
+    wanted = found_in(other, own_ranked[chosen[own_order]])
+    other_able = distinct_counts(order, ranked, width, wanted) >= threshold * other_sizes - 1e-9
+    wanted &= in_windows(other_able, width)
+    if not wanted.any():
+        return mine, theirs
+    chosen &= found_in(own, ranked[wanted[order]])
+    x, y = Stretches(own_order, own_ranked, chosen, width, n), Stretches(order, ranked, wanted, width, m)
+    if not len(x.value):
+        return mine, theirs
+    share = threshold / (1 + threshold)
+    needed = share * (sizes[able].min() + other_sizes[other_able].min()) - 1e-9
+
+    # Pairs of stretches of a value, and the shifts at which they meet.
+    low = np.searchsorted(y.value, x.value, "left")
+    repeats = np.searchsorted(y.value, x.value, "right") - low
+    a = np.repeat(np.arange(len(low)), repeats)
+    b = np.arange(len(a)) + np.repeat(low - np.cumsum(repeats) + repeats, repeats)
+    side = max(1, width // 2)
+    floors = (
+        np.minimum.reduceat(np.where(fit, share * size, np.inf), np.arange(0, len(size), side))
+        for fit, size in ((able, sizes), (other_able, other_sizes))
+    )
+    kept, fit_low, fit_high = dense_pairs(x, y, a, b, side, *floors)
+    a, b = a[kept], b[kept]
+    if not len(a):
+        return mine, theirs
+    least, most = y.low[b] - x.high[a], y.high[b] - x.low[a]
+    base, span = int(least.min()), int(most.max() - least.min()) + 2
+    fit_low, fit_high = (np.clip(f - base, 0, span) for f in (fit_low, fit_high))
+    fits = np.cumsum(np.bincount(fit_low, minlength=span + 1) - np.bincount(fit_high, minlength=span + 1))[:span] > 0
+
+    def meeting(pairs: np.ndarray) -> np.ndarray:
+        """How many of the pairs meet at each shift from ``base``."""
+        steps = np.bincount(least[pairs] - base, minlength=span)
+        return np.cumsum(steps - np.bincount(most[pairs] + 1 - base, minlength=span))
+
+    def mark(shift: int, pairs: np.ndarray) -> None:
+        pairs = pairs[(least[pairs] <= shift) & (shift <= most[pairs])]
+        if len(pairs) < needed:
+            return
+        begin, end = max(0, -shift), min(n, m - shift)
+        if begin >= end:
+            return
+        p, q = a[pairs], b[pairs]
+        first = np.clip(np.maximum(x.low[p], y.low[q] - shift), begin, end)
+        last = np.clip(np.minimum(x.high[p], y.high[q] - shift) + 1, begin, end)
+        some = first < last
+        start = begin
+        steps = np.bincount(first[some] - start, minlength=end - start + 1)
+        common = np.cumsum(steps - np.bincount(last[some] - start, minlength=end - start + 1))[:-1]
+        both = sizes[begin:end] + other_sizes[begin + shift : end + shift]
+        good = common * (1 + threshold) >= threshold * both - 1e-9
+        if not good.any():
+            return
+        held = (np.zeros(len(own), bool), np.zeros(len(other), bool))
+        sums = np.concatenate([[0], np.cumsum(good)])
+        used = sums[last - start] > sums[first - start]
+        for one, rows, marks, back in ((x, p[used], held[0], 0), (y, q[used], held[1], shift)):
+            # The places of each stretch that lie in a good window with a value that both have.
+            sizes_of = np.append(one.firsts[1:], len(one.places))[rows] - one.firsts[rows]
+            of = np.repeat(np.flatnonzero(used), sizes_of)
+            at = one.places[np.arange(len(of)) + np.repeat(one.firsts[rows] - np.cumsum(sizes_of) + sizes_of, sizes_of)]
+            left = np.maximum(first[of], at - back - width + 1)
+            right = np.minimum(last[of], at - back + 1)
+            real = left < right
+            left, right, at = left[real], right[real], at[real]
+            marks[at[sums[right - start] > sums[left - start]]] = True
+        found = np.flatnonzero(good) + begin
+        cuts = np.flatnonzero(np.diff(found) > width)
+        for f, g in zip(found[[0, *(cuts + 1)]], found[[*cuts, -1]]):
+            for marks, covered, back in ((held[0], mine, 0), (held[1], theirs, shift)):
+                inside = np.flatnonzero(marks[f + back : g + back + width])
+                covered[f + back + inside[0] : f + back + inside[-1] + 1] = True
+
+    everything = np.arange(len(a))
+    enough = fits & (meeting(everything) >= needed)
+    exact, counts = np.unique(y.places[y.firsts[b]] - x.places[x.firsts[a]], return_counts=True)
+    ahead = exact[np.argsort(-counts, kind="stable")]
+    if places is not None:
+        fixed = np.isin(x.places[x.firsts[a]], places)
+        seeds = np.unique((y.places[y.firsts[b]] - x.places[x.firsts[a]])[fixed])
+        ahead = np.concatenate([seeds, ahead[~np.isin(ahead, seeds)]])
+    tried = np.zeros(span, bool)
+
+    def undone() -> np.ndarray:
+        return x.touched(mine)[a] | y.touched(theirs)[b]
+
+    rest = undone()
+    ahead = ahead[(ahead >= base) & (ahead < base + span)]
+    for shift in ahead[enough[ahead - base]].tolist():
+        tried[shift - base] = True
+        if np.any(rest & (least <= shift) & (shift <= most)):
+            mark(shift, everything)
+            rest = undone()
+    # Other shifts matter where windows hold what is not marked yet: passages that moved.
+    if rest.any():
+        left_x, left_y = (np.concatenate([[0], np.cumsum(w)]) for w in (chosen & ~mine, wanted & ~theirs))
+        sums_x, sums_y = (np.concatenate([[0], np.cumsum(w[width:] > w[:-width])]) for w in (left_x, left_y))
+        close = (sums_x[x.high[a] + 1] > sums_x[x.low[a]]) | (sums_y[y.high[b] + 1] > sums_y[y.low[b]])
+        close = np.flatnonzero(close)
+        able_at = fits & (meeting(close) >= needed) & (meeting(np.flatnonzero(rest)) > 0) & ~tried
+        for shift in (np.flatnonzero(able_at) + base).tolist():
+            if np.any(rest & (least <= shift) & (shift <= most)):
+                mark(shift, close)
+                rest = undone()
     return mine, theirs
 
 
