@@ -323,3 +323,22 @@ def test_spans_are_those_of_all_windows_with_similar_sets():
         longer = np.insert(words, size // 2, np.uint64(1))
         x, y = (shingle_hashes(w, 5) for w in (words, longer))
         assert all(m.any() for m in matching_spans(x, y, np.arange(len(x)), 46, 0.8)), size
+
+
+def test_rows_between_unlike_ends_of_a_key_are_compared(spark, monkeypatch):
+    from wattspan.llm import substring_dedup
+
+    # A line of 20 words that all texts quote, in passages of which only some are alike.
+    line = [f"q{k}" for k in range(20)]
+
+    def text(k, near):
+        own = [f"{near}x{i}" for i in range(40)]
+        return " ".join([*(f"a{k}w{i}" for i in range(60)), *own[:20], *line, *own[20:], *(f"z{k}w{i}" for i in range(60))])
+
+    kinds = ["first", "b", "c", "d", "e", "b", "c", "d", "e", "last"]
+    table = spark.createDataFrame([(k, text(k, x)) for k, x in enumerate(kinds)], "doc_id long, text string").coalesce(1)
+    # One key that all have, so that nothing but it brings rows together.
+    one_key = (F.lit(180).cast("long").alias("n_words"), F.array(F.lit(1).cast("long")).alias("keys"), F.array(F.lit(85)).alias("places"))
+    monkeypatch.setattr(substring_dedup, "_passages", lambda docs, *_: docs.select("doc_id", "digest", *one_key))
+    got = {r.doc_id: (len(r.repeats), len(r.originals)) for r in repeated_passages(table).collect()}
+    assert got == {k: (int(5 <= k <= 8), int(1 <= k <= 4)) for k in range(10)}

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattspan.llm.common import ASCII_LOWER, WORDS, digest, hashed_words, mix64, shingle_hashes, stage, table
@@ -27,6 +27,8 @@ THRESHOLD = 0.8
 PAIRS = 3
 # The verification looks for dense places in a pair of texts by at most so many cells.
 CELLS_AT_ONCE = 4_000_000
+# A task of the verification keeps the n-grams of the texts met most recently, up to so many.
+RECENT_SHINGLES = 2_000_000
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -323,20 +325,25 @@ def _verify(pairs: DataFrame, shingle: int, length: int, threshold: float) -> Da
     width = length - shingle + 1
 
     def verify(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last, recent, held = None, {}, 0
         for batch in batch_iter:
             found = []
-            get = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "other", "places", "row_text", "other_text")]
+            get = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "other", "row_text", "other_text")]
             for k in range(batch.num_rows):
-                row, other, places = (c[k].as_py() for c in get[:3])
-                x = shingle_hashes(hashed_words(get[3][k].as_py()), shingle)
+                row, other = (c[k].as_py() for c in get[:2])
+                # Rows of a hot passage meet many others.
+                if row not in recent:
+                    if held > RECENT_SHINGLES:
+                        recent, held = {}, 0
+                    recent[row] = shingle_hashes(hashed_words(get[2][k].as_py()), shingle)
+                    held += len(recent[row])
+                x = recent[row]
                 # The join before has sorted the pairs by the other document.
                 if last is None or last[0] != other:
-                    y = shingle_hashes(hashed_words(get[4][k].as_py()), shingle)
+                    y = shingle_hashes(hashed_words(get[3][k].as_py()), shingle)
                     last = (other, y, in_order(y))
                 y, index = last[1:]
-                places = np.unique(np.array(places))
-                mine, theirs = matching_spans(x, y, places, width, threshold, index)
+                mine, theirs = matching_spans(x, y, None, width, threshold, index)
                 for name, covered, kept in ((row, mine, row < other), (other, theirs, other < row)):
                     found += [(name, a, b + shingle - 1, kept) for a, b in runs_of(covered)]
             columns = list(zip(*found)) or [[]] * 4
@@ -356,35 +363,32 @@ def repeated_passages(
     ``repeats`` are the spans of words (start, end) that near-duplicate a passage of
     ``length`` or more words of an earlier row, ``originals`` those that later rows
     repeat. Passages are compared by windows of ``length`` words whose word
-    ``shingle``-grams have a Jaccard similarity of at least ``threshold``; all that share
-    a key are compared with the first and the last of them, which keeps hot passages linear. The
-    order of rows is that of the input's partitions. An exact copy of an earlier text is one
-    repeat as a whole, and no original. Texts with fewer words, empty or null, have no
-    passages. ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.
+    ``shingle``-grams have a Jaccard similarity of at least ``threshold``. Of the rows that
+    share a key, all are compared with the first; those in which the key's place is no repeat
+    by then are compared with the next few, and so on until all are through, so a hot
+    passage takes linear work where its rows repeat the first ones. Rows that share a key but
+    no passage are all compared. The order of rows is that of the input's partitions. An
+    exact copy of an earlier text is one repeat as a whole, and no original. Texts with fewer
+    words, empty or null, have no passages. ``docs`` needs ``doc_id`` and ``text``; other
+    columns are ignored.
     """
     chosen = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
     passages = _passages(chosen, shingle, length).withColumn("row", F.monotonically_increasing_id())
     passages = stage(passages, "passage-keys")
-    keyed = passages.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "place")
-    # The first and the last row of each key that several have.
-    shared = keyed.groupBy("key").agg(F.min("row").alias("least"), F.max("row").alias("last"))
-    hits = keyed.join(shared.where("least < last"), "key")
-    hits = hits.select("row", "place", F.explode(F.array("least", "last")).alias("other"))
-    hits = hits.where("row <> other").groupBy("row", "other").agg(F.collect_set("place").alias("places"))
-    pairs = stage(hits, "passage-pairs")
-
     # Copies of a text have its keys: the first of them stands for all.
     long = passages.where(F.col("n_words") >= length).select("row", "digest", "n_words")
     firsts = long.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     firsts = stage(firsts.where("n > 1").drop("n"), "passage-copies")
     copies = stage(long.join(firsts, "digest").where("row <> first").drop("digest"), "passage-copies")
-    for name in ("row", "other"):
-        known = copies.select(F.col("row").alias(name), "first")
-        pairs = pairs.join(known, name, "left").withColumn(name, F.coalesce("first", name)).drop("first")
-    pairs = pairs.where("row <> other").groupBy("row", "other").agg(
-        F.array_distinct(F.flatten(F.collect_set("places"))).alias("places")
-    )
-    pairs = stage(pairs, "passage-pairs")
+
+    distinct = passages.select("row", "keys", "places").join(copies.select("row"), "row", "left_anti")
+    keyed = distinct.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "place")
+    shared = keyed.groupBy("key").agg(F.min("row").alias("least"), F.max("row").alias("last"))
+    hits = keyed.join(shared.where("least < last").select("key"), "key")
+    hits = hits.groupBy("key", "row").agg(F.collect_set("place").alias("places"))
+    by_key = Window.partitionBy("key")
+    hits = hits.withColumn("nth", F.row_number().over(by_key.orderBy("row")))
+    members = stage(hits.withColumn("n", F.count("*").over(by_key)), "passage-members")
 
     names = passages.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest")
     texts = chosen.select(
@@ -396,7 +400,30 @@ def repeated_passages(
         named = df.join(names.withColumnRenamed("row", row), row)
         return named.join(texts, ["id", "none", "digest"]).drop("id", "none", "digest").withColumnRenamed("text", f"{row}_text")
 
-    spans = _verify(with_text(with_text(pairs, "row"), "other"), shingle, length, threshold)
+    spans, done, low, high = None, None, 0, 1
+    waiting = members.withColumn("shared", F.lit(False))
+    while True:
+        # Rows whose passage later rows repeat need earlier ones only.
+        others = members.where((F.col("nth") > low) & (F.col("nth") <= high)).select("key", F.col("row").alias("other"))
+        met = waiting.join(others, "key").where("row <> other AND (other < row OR NOT shared)")
+        pairs = met.select(F.greatest("row", "other").alias("row"), F.least("row", "other").alias("other")).distinct()
+        if done is not None:
+            pairs = pairs.join(done, ["row", "other"], "left_anti")
+        pairs = stage(pairs, "passage-pairs")
+        found = _verify(with_text(with_text(pairs, "row"), "other"), shingle, length, threshold)
+        found = stage(found.dropDuplicates(["row", "start", "end", "kept"]), "passage-spans")
+        done = pairs if done is None else done.unionByName(pairs)
+        spans = found if spans is None else spans.unionByName(found)
+        low, high = high, 4 * high - 1 if high > 1 else 3
+        known = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("known"))
+        state = waiting.drop("shared").where(F.col("n") > low).join(known, "row", "left")
+        inside = f"forall(places, p -> exists(known, s -> s.start <= p AND p <= s.end - {shingle}%s))"
+        state = state.where(f"NOT coalesce({inside % ' AND NOT s.kept'}, false)")
+        state = state.withColumn("shared", F.expr(f"coalesce({inside % ''}, false)")).drop("known")
+        waiting = stage(state.where(f"NOT shared OR nth > {low + 1}"), "passage-waiting")
+        if waiting.isEmpty():
+            break
+
     whole = F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")
     spans = spans.unionByName(copies.select("row", *whole, F.lit(False).alias("kept")))
     spans = spans.unionByName(copies.select(F.col("first").alias("row"), *whole, F.lit(True).alias("kept")))
