@@ -342,3 +342,25 @@ def test_rows_between_unlike_ends_of_a_key_are_compared(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "_passages", lambda docs, *_: docs.select("doc_id", "digest", *one_key))
     got = {r.doc_id: (len(r.repeats), len(r.originals)) for r in repeated_passages(table).collect()}
     assert got == {k: (int(5 <= k <= 8), int(1 <= k <= 4)) for k in range(10)}
+
+
+def test_thresholds_follow_all_labelled_documents(spark, monkeypatch):
+    from wattspan.llm import toxicity
+
+    random = np.random.default_rng(4)
+    rows, marks = [], []
+    for k in range(900):
+        words = [f"w{x}" for x in random.integers(0, 200, 20)]
+        if k % 4 == 0:
+            words[3] = "nasty" + words[3]
+        rows.append((k, " ".join(words), "en" if k % 10 else "xx"))
+        marks.append((k, int(k % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    seen, histogram = [], toxicity.histogram
+    monkeypatch.setattr(toxicity, "histogram", lambda *x: seen.append((histogram(*x), x[3])) or seen[0][0])
+    fitted = toxicity.fit(table, labels, sample=200)
+    folds = toxicity.training_labels(labels, "toxic").count()
+    # A rare language has its own, and all examples that were not trained on take part.
+    assert set(fitted.thresholds) == {"en", "xx"}
+    assert len(seen[0][1]) == 160 and seen[0][0].n.sum() == folds - 160

@@ -26,8 +26,12 @@ WIDTHS = (1, 2, 3)
 FILTERS = 12
 # Training uses at most about this many labelled documents, chosen by a hash of the id.
 SAMPLE = 12_000
-# One in this many training documents serves to calibrate scores and thresholds.
+# One in this many documents of the sample is not trained on. These and all labelled documents
+# beyond the sample calibrate scores and thresholds, as histograms of logits.
 CALIBRATION = 5
+BINS_PER_LOGIT = 20
+# A language's threshold counts as much as the common one at this many examples of its rarer label.
+SMOOTHING = 20
 TEXTS_AT_ONCE = 64
 PAD = 0
 
@@ -128,16 +132,16 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def platt(logits: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+def platt(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray, rounds: int = 50) -> tuple[float, float]:
     """Slope and shift that fit ``labels`` best, with smoothed targets (Newton steps)."""
-    positive = labels.sum()
-    target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (len(labels) - positive + 2))
+    positive = (labels * counts).sum()
+    target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (counts.sum() - positive + 2))
     beta = np.array([1.0, 0.0])
     x = np.stack([logits, np.ones_like(logits)], 1)
     for _ in range(rounds):
         p = sigmoid(x @ beta)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        beta -= np.linalg.solve(hessian, x.T @ (p - target) + 1e-3 * (beta - [1.0, 0.0]))
+        hessian = (x * (counts * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        beta -= np.linalg.solve(hessian, x.T @ (counts * (p - target)) + 1e-3 * (beta - [1.0, 0.0]))
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
@@ -215,13 +219,13 @@ def train(
     return model
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+def best_threshold(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> float:
     """The score at which F1 is highest, halfway to the next lower one; 0.5 without both labels."""
     if len(set(labels.tolist())) < 2:
         return 0.5
     order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    ranked, hits = scores[order], np.cumsum((labels * counts)[order])
+    f1 = 2 * hits / (np.cumsum(counts[order]) + hits[-1])
     f1[:-1][ranked[:-1] == ranked[1:]] = -1
     best = int(np.argmax(f1))
     low = ranked[best + 1] if best + 1 < len(ranked) else 0.0
@@ -235,52 +239,91 @@ class ToxicityModel:
     default: float
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, *columns: str) -> DataFrame:
-    """At most about ``limit`` labelled training documents, those lowest by a hash.
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id`` and ``label`` of the examples.
 
-    Documents of the held-out fifth, null ids, null labels and ids with two labels are no
-    examples; of repeated documents one serves.
+    Documents of the held-out fifth, null ids, null labels and ids with two labels are none.
     """
     marks = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label"))
     marks = marks.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     marks = marks.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
-    marks = marks.where("label = other").drop("other")
+    return marks.where("label = other").drop("other")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, *columns: str) -> DataFrame:
+    """At most about ``limit`` labelled training documents, those lowest by a hash.
+
+    Of repeated documents one serves.
+    """
+    marks = training_labels(labels, label)
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     found = docs.select(F.col("doc_id").cast("long"), "text", *columns).join(chosen, "doc_id")
     return found.dropDuplicates(["doc_id"])
 
 
+def histogram(docs: DataFrame, labels: DataFrame, model: ConvModel, trained: list[int]) -> pd.DataFrame:
+    """``lang``, ``label``, ``logit`` and ``n`` of all examples but those ``trained`` on.
+
+    The driver gets the mean logit and the number of each language's examples by label and
+    bin, not the examples.
+    """
+    used = docs.sparkSession.createDataFrame([(i,) for i in trained], "doc_id long")
+    marks = training_labels(labels, "toxic").join(used, "doc_id", "left_anti")
+    found = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).join(marks, "doc_id")
+
+    @F.pandas_udf("double")
+    def logit(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = Vocabulary()
+        for texts in frames:
+            found = [np.zeros(0)]
+            for low in range(0, len(texts), TEXTS_AT_ONCE):
+                words.trim()
+                found.append(model.logits([words(t) for t in texts.iloc[low : low + TEXTS_AT_ONCE]], words))
+            yield pd.Series(np.concatenate(found))
+
+    scored = found.select("doc_id", "lang", "label", logit("text").alias("logit")).dropDuplicates(["doc_id"])
+    binned = scored.groupBy("lang", "label", F.floor(F.col("logit") * BINS_PER_LOGIT).alias("bin"))
+    counted = binned.agg(F.avg("logit").alias("logit"), F.count("*").alias("n"))
+    return counted.orderBy("lang", "label", "bin").toPandas()
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
     """Train on ``labels.toxic``; thresholds are calibrated for each ``lang`` of ``docs``.
 
-    The driver gets the texts of at most ``sample`` documents. Without any example the
-    model keeps its random start, and its scores mean nothing.
+    The driver gets the texts of at most ``sample`` documents. Calibration takes all other
+    examples. A language's threshold is drawn towards the common one, the more the fewer
+    examples it has. Without any example the model keeps its random start, and its scores
+    mean nothing.
     """
     rows = (
-        labelled_sample(docs, labels, "toxic", sample, "lang")
-        .select("doc_id", "text", F.col("lang").cast("string"), "label")
+        labelled_sample(docs, labels, "toxic", sample)
+        .select("doc_id", "text", "label")
         .toArrow()
         .sort_by("doc_id")
     )
+    ids = rows.column("doc_id").to_pylist()
     words = Vocabulary()
     arrays = [words(t.as_py()) for t in rows.column("text")]
     y = rows.column("label").to_numpy().astype(np.float64)
-    langs = np.array([x or "" for x in rows.column("lang").to_pylist()], object)
     del rows
     index = np.arange(len(arrays))
-    tune = index % CALIBRATION == 0
-    model = train([arrays[i] for i in index[~tune]], words, y[~tune])
+    rest = index[index % CALIBRATION != 0]
+    model = train([arrays[i] for i in rest], words, y[rest])
+    del arrays
     thresholds: dict[str, float] = {}
-    if tune.sum() < 50 or len(set(y[tune])) < 2:
+    tune = histogram(docs, labels, model, [ids[i] for i in rest])
+    logits, marks, counts = (tune[c].to_numpy(np.float64) for c in ("logit", "label", "n"))
+    if counts.sum() < 50 or len(set(marks)) < 2:
         return ToxicityModel(model, thresholds, 0.5)
-    logits = model.logits([arrays[i] for i in index[tune]], words)
-    model.scale, model.shift = platt(logits, y[tune])
+    model.scale, model.shift = platt(logits, marks, counts)
     scores = sigmoid(model.scale * logits + model.shift)
-    default = best_threshold(scores, y[tune])
-    for lang in set(langs[tune]):
-        own = langs[tune] == lang
-        if y[tune][own].sum() >= 20:
-            thresholds[lang] = best_threshold(scores[own], y[tune][own])
+    default = best_threshold(scores, marks, counts)
+    for lang in tune.lang.dropna().unique():
+        own = (tune.lang == lang).to_numpy()
+        toxic = (marks * counts)[own].sum()
+        rarer = min(toxic, counts[own].sum() - toxic)
+        value = best_threshold(scores[own], marks[own], counts[own])
+        thresholds[str(lang)] = float((rarer * value + SMOOTHING * default) / (rarer + SMOOTHING))
     return ToxicityModel(model, thresholds, default)
 
 
@@ -288,7 +331,7 @@ def score(docs: DataFrame, fitted: ToxicityModel) -> DataFrame:
     """``docs`` with a ``toxicity`` score of each whole text and whether it is ``toxic``.
 
     The score depends on the text alone; ``toxic`` applies the threshold of the row's
-    ``lang``, or the common one where the language is null or was rare. Null and empty
+    ``lang``, or the common one where the language is null or has no example. Null and empty
     texts get the score of no words. Repeated rows and null ids stay.
     """
     model = fitted.model
