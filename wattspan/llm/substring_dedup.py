@@ -9,6 +9,7 @@ of values are joined across documents. Candidates are verified on the texts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ PAIRS = 3
 CELLS_AT_ONCE = 4_000_000
 # A task of the verification keeps the n-grams of the texts met most recently, up to so many.
 RECENT_SHINGLES = 2_000_000
+# A block of the verification has about this many pairs.
+PAIRS_AT_ONCE = 2_000
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -320,39 +323,43 @@ def matching_spans(
     return mine, theirs
 
 
-def _verify(pairs: DataFrame, shingle: int, length: int, threshold: float) -> DataFrame:
-    """Spans of words of both documents of each pair; ``kept`` in the earlier one."""
-    width = length - shingle + 1
+def _verify(pairs: DataFrame, with_text, shingle: int, length: int, threshold: float) -> DataFrame:
+    """Spans of words of both documents of each pair; ``kept`` in the earlier one.
 
-    def verify(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, recent, held = None, {}, 0
-        for batch in batch_iter:
-            found = []
-            get = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "other", "row_text", "other_text")]
-            for k in range(batch.num_rows):
-                row, other = (c[k].as_py() for c in get[:2])
-                # Rows of a hot passage meet many others.
-                if row not in recent:
+    Pairs meet in blocks of rows and of others, so that a text travels once for each block
+    and not for each pair. ``with_text`` adds the text of a ``row``.
+    """
+    width = length - shingle + 1
+    side = F.lit(math.ceil(math.sqrt(max(1, pairs.count()) / PAIRS_AT_ONCE)))
+    block = [F.pmod(F.xxhash64(c), side).alias(f"{c}_block") for c in ("row", "other")]
+    cells = ["row_block", "other_block"]
+    pairs = pairs.select("row", "other", *block)
+    ends = pairs.select("row", *cells).unionByName(pairs.select(F.col("other").alias("row"), *cells)).distinct()
+    texts = with_text(ends).dropDuplicates([*cells, "row"])
+    texts = texts.select(F.col("row").alias("name"), "text", *[F.col(c).alias(f"of_{c}") for c in cells])
+
+    def verify(asked: pa.Table, texts: pa.Table) -> pa.Table:
+        at = {row: k for k, row in enumerate(texts.column("name").to_pylist())}
+        column, recent, held, last, found = texts.column("text"), {}, 0, None, []
+        for row, other in zip(*(asked.sort_by([("other", "ascending"), ("row", "ascending")]).column(c).to_pylist() for c in ("row", "other"))):
+            for name in (other, row):
+                if name not in recent:
                     if held > RECENT_SHINGLES:
                         recent, held = {}, 0
-                    recent[row] = shingle_hashes(hashed_words(get[2][k].as_py()), shingle)
-                    held += len(recent[row])
-                x = recent[row]
-                # The join before has sorted the pairs by the other document.
-                if last is None or last[0] != other:
-                    y = shingle_hashes(hashed_words(get[3][k].as_py()), shingle)
-                    last = (other, y, in_order(y))
-                y, index = last[1:]
-                mine, theirs = matching_spans(x, y, None, width, threshold, index)
-                for name, covered, kept in ((row, mine, row < other), (other, theirs, other < row)):
-                    found += [(name, a, b + shingle - 1, kept) for a, b in runs_of(covered)]
-            columns = list(zip(*found)) or [[]] * 4
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["row", "start", "end", "kept"]
-            )
-
-    return pairs.mapInArrow(verify, "row long, start int, end int, kept boolean")
+                    recent[name] = shingle_hashes(hashed_words(column[at[name]].as_py()), shingle)
+                    held += len(recent[name])
+                if name == other and (last is None or last[0] != other):
+                    last = (other, recent[other], in_order(recent[other]))
+            mine, theirs = matching_spans(recent[row], last[1], None, width, threshold, last[2])
+            for name, covered, kept in ((row, mine, row < other), (other, theirs, other < row)):
+                found += [(name, a, b + shingle - 1, kept) for a, b in runs_of(covered)]
+        columns = list(zip(*found)) or [[]] * 4
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["row", "start", "end", "kept"])
+
+    return pairs.groupBy(*cells).cogroup(texts.groupBy(*[f"of_{c}" for c in cells])).applyInArrow(
+        verify, "row long, start int, end int, kept boolean"
+    )
 
 
 def repeated_passages(
@@ -395,10 +402,9 @@ def repeated_passages(
         F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest", "text"
     )
 
-    def with_text(df: DataFrame, row: str) -> DataFrame:
+    def with_text(df: DataFrame) -> DataFrame:
         """``df`` with the text of the document in ``row``; repeated rows multiply."""
-        named = df.join(names.withColumnRenamed("row", row), row)
-        return named.join(texts, ["id", "none", "digest"]).drop("id", "none", "digest").withColumnRenamed("text", f"{row}_text")
+        return df.join(names, "row").join(texts, ["id", "none", "digest"]).drop("id", "none", "digest")
 
     spans, done, low, high = None, None, 0, 1
     waiting = members.withColumn("shared", F.lit(False))
@@ -410,7 +416,7 @@ def repeated_passages(
         if done is not None:
             pairs = pairs.join(done, ["row", "other"], "left_anti")
         pairs = stage(pairs, "passage-pairs")
-        found = _verify(with_text(with_text(pairs, "row"), "other"), shingle, length, threshold)
+        found = _verify(pairs, with_text, shingle, length, threshold)
         found = stage(found.dropDuplicates(["row", "start", "end", "kept"]), "passage-spans")
         done = pairs if done is None else done.unionByName(pairs)
         spans = found if spans is None else spans.unionByName(found)
