@@ -8,6 +8,7 @@ from wattspan.llm import (
     packing,
     quality,
     substring_dedup,
+    suffix_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_vector_search": vector_search.op10_vector_search,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 ORACLES = {
