@@ -5,10 +5,12 @@ Every string of ``length`` bytes is filed under the least hash among its shorter
 strings lie in pieces of one anchor, and pieces under different anchors never need to meet.
 
 1. Anchors are counted from packed lists of 8 bytes each; which ones occur twice is kept in a
-   bit map of bounded size (a false positive costs time only).
-2. Pieces of such anchors are shuffled by anchor. Equal pieces fold onto their first document.
-3. In a task, the earlier half of an anchor's pieces goes into a run-length index and the later
-   half is streamed through it, then the same within the halves.
+   bit map of bounded size (a false positive costs time only). Of these, a second map keeps
+   which ones have pieces that differ.
+2. Pieces of anchors that occur twice are shuffled by anchor. Equal pieces fold onto their first
+   document; only pieces of an anchor that differ take their bytes along.
+3. In a task, the earlier half of such an anchor's pieces goes into a run-length index and the
+   later half is streamed through it, then the same within the halves.
 
 An anchor with very many pieces is split: its strings are filed by their own hash instead,
 under which only equal strings meet.
@@ -33,20 +35,21 @@ LENGTH = 50
 BLOCK = 1 << 18
 # Symbols of pieces that one index holds at most, and that a task works on at once.
 CHUNK = 1 << 20
-# Bits of the two maps: anchors that occur twice (32 MB) and anchors that are split (128 kB).
+# Bits of the maps: anchors that occur twice and those that differ (32 MB each), and anchors
+# that are split (128 kB).
 SHARED_BITS, SPLIT_BITS = 28, 20
 # Pieces under one anchor from which on it is split, and what one batch counts at most.
 SPLIT_FROM = 2000
 MOST_COUNTED = 63
-# Bytes of pieces in one batch that a task hands on.
-SENT_BYTES = 32 << 20
+# Bytes of text that a task takes up at once, and bytes of pieces that it hands on at once.
+TAKEN_BYTES, SENT_BYTES = 12 << 20, 4 << 20
 # Bytes of packed anchors that a counting task should hold.
 COUNTED_BYTES = 64 << 20
 NO_ID = np.iinfo(np.int64).max
 
 COUNT_SCHEMA = "bucket INT, anchors BINARY"
 MAP_SCHEMA = "bucket INT, shared BINARY, split BINARY"
-PIECE_SCHEMA = "h LONG, c LONG, doc LONG, tag LONG, at ARRAY<INT>, windows INT, piece BINARY"
+PIECE_SCHEMA = "h LONG, c LONG, doc LONG, tag LONG, at INT, windows INT, piece BINARY"
 SPAN_SCHEMA = "doc LONG, tag LONG, first INT, beyond INT"
 RESULT_SCHEMA = "doc_id LONG, n_bytes LONG, spans ARRAY<STRUCT<first: INT, beyond: INT>>, kept BINARY"
 
@@ -138,71 +141,129 @@ def cut(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int) ->
     return Pieces(*(np.concatenate(column) for column in zip(*found)))
 
 
-def _bytes_of(column: pa.Array) -> list[bytes]:
-    return [text or b"" for text in column.to_pylist()]
+def _taken(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], slice]]:
+    """The texts of a batch in parts of bounded bytes, with the rows of each part."""
+    texts = batch.column("raw").to_pylist()
+    load = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))) // TAKEN_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(load)) + 1), len(texts)]
+    for low, high in zip(edges, edges[1:]):
+        if low < high:
+            yield texts[low:high], slice(low, high)
 
 
-# --- 1: which anchors occur twice ---------------------------------------------
+# --- 1: which anchors occur twice, and which differ -----------------------------
+
+
+def _packed(bucket_of: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
+    """Entries in order of their bucket as one row for each bucket."""
+    heads = np.flatnonzero(np.diff(bucket_of, prepend=-1))
+    lists = np.split(entries, heads[1:]) if len(entries) else []
+    return pa.record_batch(
+        [pa.array(bucket_of[heads]), pa.array([part.tobytes() for part in lists], pa.binary())],
+        ["bucket", "anchors"],
+    )
+
+
+def _bucket(anchors: np.ndarray, bits: int) -> np.ndarray:
+    return (anchors >> np.uint64(64 - bits)).astype(np.int32)
 
 
 def packed_anchors(docs: DataFrame, length: int, bucket_bits: int) -> DataFrame:
-    """Distinct anchors of each batch by their first bits, packed.
+    """Distinct anchors of each part of a batch by their first bits, packed.
 
-    The last six bits of an anchor give way to its number of pieces in the batch.
+    The last six bits of an anchor give way to its number of pieces in the part.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces = cut(*joined(_bytes_of(batch.column("raw"))), length)
-            keys, times = np.unique(pieces.anchor >> np.uint64(6), return_counts=True)
-            keys = (keys << np.uint64(6)) | np.minimum(times, MOST_COUNTED).astype(np.uint64)
-            bucket = (keys >> np.uint64(64 - bucket_bits)).astype(np.int32)
-            heads = np.flatnonzero(np.diff(bucket, prepend=-1))
-            lists = np.split(keys, heads[1:]) if len(keys) else []
-            yield pa.record_batch(
-                [pa.array(bucket[heads]), pa.array([k.tobytes() for k in lists], pa.binary())],
-                ["bucket", "anchors"],
-            )
+            for texts, _ in _taken(batch):
+                pieces = cut(*joined(texts), length)
+                keys, times = np.unique(pieces.anchor >> np.uint64(6), return_counts=True)
+                keys = (keys << np.uint64(6)) | np.minimum(times, MOST_COUNTED).astype(np.uint64)
+                yield _packed(_bucket(keys, bucket_bits), keys)
 
     return docs.select("raw").mapInArrow(count, COUNT_SCHEMA)
 
 
+def packed_contents(docs: DataFrame, length: int, bucket_bits: int, shared, split) -> DataFrame:
+    """Distinct pairs of anchor and content where the anchor occurs twice and is not split."""
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts, _ in _taken(batch):
+                pieces = cut(*joined(texts), length)
+                pieces = pieces.chosen(in_map(shared.value, pieces.anchor))
+                pieces = pieces.chosen(~in_map(split.value, pieces.anchor))
+                order = np.lexsort((pieces.content, pieces.anchor))
+                pairs = np.stack([pieces.anchor[order], pieces.content[order]], axis=1)
+                pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])[: len(pairs)]]
+                yield _packed(_bucket(pairs[:, 0], bucket_bits), pairs)
+
+    return docs.select("raw").mapInArrow(pair, COUNT_SCHEMA)
+
+
+def _map_part(anchors: np.ndarray, bits: int, bucket_bits: int) -> bytes:
+    own = np.zeros(1 << (bits - bucket_bits), np.uint8)
+    own[(anchors >> np.uint64(64 - bits)) & np.uint64(len(own) - 1)] = 1
+    return zlib.compress(np.packbits(own).tobytes(), 1)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    lists: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for bucket, anchors in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            lists.setdefault(bucket, []).append(anchors)
+    for bucket in sorted(lists):
+        yield bucket, np.frombuffer(b"".join(lists.pop(bucket)), np.uint64).copy()
+
+
+def _map_row(bucket: int, shared: bytes, split: bytes) -> pa.RecordBatch:
+    return pa.record_batch(
+        [pa.array([bucket], pa.int32()), pa.array([shared], pa.binary()), pa.array([split], pa.binary())],
+        ["bucket", "shared", "split"],
+    )
+
+
 def anchor_maps(packed: DataFrame, bucket_bits: int, partitions: int, split_from: int) -> DataFrame:
-    """For each bucket, its part of the two bit maps."""
+    """For each bucket, its part of the maps of anchors that occur twice or are split."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for bucket, anchors in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lists.setdefault(bucket, []).append(anchors)
-        for bucket in sorted(lists):
-            keys = np.frombuffer(b"".join(lists.pop(bucket)), np.uint64).copy()
+        for bucket, keys in _by_bucket(batches):
             keys.sort()
             anchors = keys >> np.uint64(6)
             heads = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
             times = np.add.reduceat((keys & np.uint64(63)).astype(np.int64), heads)
-            anchors = anchors[heads]
-            maps = []
-            for bits, least in ((SHARED_BITS, 2), (SPLIT_BITS, split_from)):
-                own = np.zeros(1 << (bits - bucket_bits), np.uint8)
-                own[(anchors[times >= least] >> np.uint64(58 - bits)) & np.uint64(len(own) - 1)] = 1
-                maps.append(zlib.compress(np.packbits(own).tobytes(), 1))
-            yield pa.record_batch(
-                [pa.array([bucket], pa.int32()), *(pa.array([m], pa.binary()) for m in maps)],
-                ["bucket", "shared", "split"],
+            anchors = keys[heads]
+            yield _map_row(
+                bucket,
+                _map_part(anchors[times >= 2], SHARED_BITS, bucket_bits),
+                _map_part(anchors[times >= split_from], SPLIT_BITS, bucket_bits),
             )
 
     return packed.repartition(partitions, "bucket").mapInArrow(add, MAP_SCHEMA)
 
 
-def gathered_maps(parts: DataFrame, bucket_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Both maps whole: at most 32 MB and 128 kB, whatever the size of the corpus."""
-    maps = [np.zeros(1 << (bits - 3), np.uint8) for bits in (SHARED_BITS, SPLIT_BITS)]
-    for row in parts.toLocalIterator():
-        for whole, own in zip(maps, (row.shared, row.split)):
-            part = np.frombuffer(zlib.decompress(own), np.uint8)
-            whole[row.bucket * len(part) : (row.bucket + 1) * len(part)] = part
-    return maps[0], maps[1]
+def content_maps(packed: DataFrame, bucket_bits: int, partitions: int) -> DataFrame:
+    """For each bucket, its part of the map of anchors whose pieces differ."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, pairs in _by_bucket(batches):
+            anchor, content = pairs.reshape(-1, 2).T
+            order = np.argsort(anchor, kind="stable")
+            anchor, content = anchor[order], content[order]
+            differ = (anchor[1:] == anchor[:-1]) & (content[1:] != content[:-1])
+            yield _map_row(bucket, _map_part(anchor[1:][differ], SHARED_BITS, bucket_bits), b"")
+
+    return packed.repartition(partitions, "bucket").mapInArrow(add, MAP_SCHEMA)
+
+
+def gathered_map(rows: list, column: str, bits: int) -> np.ndarray:
+    """A map whole from its parts: 32 MB or 128 kB, whatever the size of the corpus."""
+    whole = np.zeros(1 << (bits - 3), np.uint8)
+    for row in rows:
+        part = np.frombuffer(zlib.decompress(row[column]), np.uint8)
+        whole[row["bucket"] * len(part) : (row["bucket"] + 1) * len(part)] = part
+    return whole
 
 
 def in_map(bits: np.ndarray, anchors: np.ndarray) -> np.ndarray:
@@ -231,11 +292,6 @@ def _binary(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _lists(values: np.ndarray, heads: np.ndarray) -> pa.Array:
-    offsets = np.append(heads, len(values)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-
-
 def _merged(first: np.ndarray, beyond: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of intervals given in order of their starts."""
     reach = np.maximum.accumulate(beyond)
@@ -247,63 +303,72 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def shared_pieces(docs: DataFrame, length: int, shared, split) -> DataFrame:
-    """Pieces of the anchors in the map, one row per batch and content.
+def shared_pieces(docs: DataFrame, length: int, shared, split, differing) -> DataFrame:
+    """Pieces of the anchors that occur twice, one row for each place.
 
-    A row holds the least document of the batch with that piece, and all places in it. In
-    later documents of the batch the piece is covered already; rows with no ``windows``
-    have the covered stretches, as pairs, in ``at``.
+    Of equal pieces in one part of a batch only those of the least document are handed on. In
+    later documents they are covered already: such stretches have no ``windows``, and their
+    size in place of the content. Only pieces of differing anchors have content and bytes.
     """
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [field.split()[0] for field in PIECE_SCHEMA.split(", ")]
         for batch in batches:
-            raw, starts, sizes = joined(_bytes_of(batch.column("raw")))
-            doc = batch.column("doc").to_numpy(zero_copy_only=False)
-            tag = batch.column("tag").to_numpy(zero_copy_only=False)
-            pieces = cut(raw, starts, sizes, length)
-            pieces = pieces.chosen(in_map(shared.value, pieces.anchor))
-            hot = in_map(split.value, pieces.anchor)
-            if hot.any():
-                finer = _split(pieces.chosen(hot), raw, length)
-                pieces = Pieces(*map(np.concatenate, zip(pieces.chosen(~hot), finer)))
-            if not len(pieces.start):
-                continue
-            owner = np.searchsorted(starts, pieces.start, "right") - 1
-            key = mix64(pieces.anchor ^ (pieces.content * np.uint64(BASE)))
-            order = np.lexsort((pieces.start, tag[owner], doc[owner], key))
-            pieces, owner, key = pieces.chosen(order), owner[order], key[order]
-            heads = np.concatenate([[True], key[1:] != key[:-1]])
-            least = doc[owner][heads][np.cumsum(heads) - 1]
-            kept = doc[owner] == least
-
-            later = np.flatnonzero(~kept)
-            later = later[np.argsort(pieces.start[later], kind="stable")]
-            if len(later):
-                start = pieces.start[later]
-                first, beyond = _merged(start, start + pieces.windows[later] + length - 1)
-                of = np.searchsorted(starts, first, "right") - 1
-                heads = np.flatnonzero(np.diff(of, prepend=-1))
-                pairs = np.stack([first - starts[of], beyond - starts[of]], axis=1).ravel()
-                none = np.zeros(len(heads), np.int64)
-                columns = [pa.array(tag[of[heads]]), pa.array(none), pa.array(doc[of[heads]])]
-                columns += [pa.array(tag[of[heads]]), _lists(pairs, heads * 2)]
-                columns += [pa.array(none.astype(np.int32)), pa.array([None] * len(heads), pa.binary())]
-                yield pa.record_batch(columns, names)
-
-            pieces, owner, key = pieces.chosen(kept), owner[kept], key[kept]
-            new = (key[1:] != key[:-1]) | (tag[owner[1:]] != tag[owner[:-1]])
-            heads = np.flatnonzero(np.concatenate([[True], new]))
-            beyond = np.append(heads[1:], len(key))
-            places, bytes_of = pieces.start - starts[owner], pieces.windows[heads] + length - 1
-            for part in np.split(np.arange(len(heads)), np.flatnonzero(np.diff(np.cumsum(bytes_of) // SENT_BYTES)) + 1):
-                low = heads[part[0]]
-                one, of = pieces.chosen(heads[part]), owner[heads[part]]
-                columns = [_signed(one.anchor), _signed(one.content), pa.array(doc[of]), pa.array(tag[of])]
-                columns += [_lists(places[low : beyond[part[-1]]], heads[part] - low)]
-                columns += [pa.array(one.windows.astype(np.int32))]
-                columns += [_binary(raw, one.start, bytes_of[part])]
-                yield pa.record_batch(columns, names)
+            docs_of = batch.column("doc").to_numpy(zero_copy_only=False)
+            tags_of = batch.column("tag").to_numpy(zero_copy_only=False)
+            for texts, rows in _taken(batch):
+                yield from part(*joined(texts), docs_of[rows], tags_of[rows])
+
+    def row_batch(h, c, doc, tag, at, windows, piece) -> pa.RecordBatch:
+        names = [field.split()[0] for field in PIECE_SCHEMA.split(", ")]
+        numbers = [pa.array(column.astype(np.int64)) for column in (c, doc, tag)]
+        small = [pa.array(column.astype(np.int32)) for column in (at, windows)]
+        return pa.record_batch([pa.array(h.view(np.int64)), *numbers, *small, piece], names)
+
+    def part(raw, starts, sizes, doc, tag) -> Iterator[pa.RecordBatch]:
+        pieces = cut(raw, starts, sizes, length)
+        pieces = pieces.chosen(in_map(shared.value, pieces.anchor))
+        hot = in_map(split.value, pieces.anchor)
+        if hot.any():
+            finer = _split(pieces.chosen(hot), raw, length)
+            pieces = Pieces(*map(np.concatenate, zip(pieces.chosen(~hot), finer)))
+        if not len(pieces.start):
+            return
+        owner = np.searchsorted(starts, pieces.start, "right") - 1
+        key = mix64(pieces.anchor ^ (pieces.content * np.uint64(BASE)))
+        order = np.lexsort((doc[owner], key))
+        pieces, owner, key = pieces.chosen(order), owner[order], key[order]
+        heads = np.concatenate([[True], key[1:] != key[:-1]])
+        kept = doc[owner] == doc[owner][heads][np.cumsum(heads) - 1]
+
+        later = np.flatnonzero(~kept)
+        later = later[np.argsort(pieces.start[later], kind="stable")]
+        if len(later):
+            start = pieces.start[later]
+            first, beyond = _merged(start, start + pieces.windows[later] + length - 1)
+            of = np.searchsorted(starts, first, "right") - 1
+            yield row_batch(
+                tag[of], beyond - first, doc[of], tag[of], first - starts[of],
+                np.zeros(len(of)), pa.nulls(len(of), pa.binary()),
+            )
+
+        pieces, of = pieces.chosen(kept), owner[kept]
+        differ = in_map(differing.value, pieces.anchor)
+        differ &= pieces.anchor != pieces.content
+        for which in (np.flatnonzero(differ), np.flatnonzero(~differ)):
+            some = pieces.chosen(which)
+            size = some.windows + length - 1
+            with_bytes = len(which) > 0 and bool(differ[which[0]])
+            content = some.content.view(np.int64) if with_bytes else np.zeros(len(which))
+            load = np.cumsum(size if with_bytes else np.zeros(len(which), np.int64)) // SENT_BYTES
+            edges = [0, *(np.flatnonzero(np.diff(load)) + 1), len(which)]
+            for low, high in zip(edges, edges[1:]):
+                own = slice(low, high)
+                source = of[which[own]]
+                piece = _binary(raw, some.start[own], size[own]) if with_bytes else pa.nulls(high - low, pa.binary())
+                yield row_batch(
+                    some.anchor[own], content[own], doc[source], tag[source],
+                    some.start[own] - starts[source], some.windows[own], piece,
+                )
 
     return docs.mapInArrow(select, PIECE_SCHEMA)
 
@@ -347,58 +412,46 @@ def _later_matches(
 
 
 def _spans(rows: pa.Table, length: int, chunk: int) -> pa.RecordBatch:
-    """Covered stretches of the documents in ``rows``, which hold whole anchors."""
-
-    def numbers(name: str) -> np.ndarray:
-        return rows.column(name).to_numpy()
-
-    lists = rows.column("at").combine_chunks()
-    counts = np.diff(lists.offsets.to_numpy())
-    values = lists.values.to_numpy()[lists.offsets[0].as_py() :].astype(np.int64)
-    row_of = np.repeat(np.arange(len(rows)), counts)
-    h, c, doc, tag, windows = (numbers(n) for n in ("h", "c", "doc", "tag", "windows"))
-    windows = windows.astype(np.int64)
-
-    ready = windows[row_of] == 0
-    pairs = values[ready].reshape(-1, 2)
-    out = [(row_of[ready][::2], pairs[:, 0], pairs[:, 1])]
+    """Covered stretches of the documents in ``rows``, which hold whole anchors in order."""
+    names = ("h", "c", "doc", "tag", "at", "windows")
+    h, c, doc, tag, at, windows = (rows.column(n).to_numpy().astype(np.int64) for n in names)
+    ready = np.flatnonzero(windows == 0)
+    out = [(ready, at[ready], at[ready] + c[ready])]
 
     own = np.flatnonzero(windows > 0)
     if len(own):
         new = (h[own][1:] != h[own][:-1]) | (c[own][1:] != c[own][:-1])
         heads = np.concatenate([[True], new])
-        content = np.cumsum(heads) - 1
+        of = np.cumsum(heads) - 1
         first = own[heads]
-        of = np.full(len(rows), -1)
-        of[own] = content
-        at, row = values[~ready], row_of[~ready]
-        copy = doc[row] > doc[first][of[row]]
-        out.append((row[copy], at[copy], at[copy] + windows[row[copy]] + length - 1))
-
-        by_doc = np.lexsort((doc[first], h[first]))
-        chosen = first[by_doc]
+        copy = doc[own] > doc[first][of]
+        copies = own[copy]
+        out.append((copies, at[copies], at[copies] + windows[copies] + length - 1))
+
         column = rows.column("piece").combine_chunks()
-        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(rows) + 1]
-        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-        sizes = windows[chosen] + length - 1
-        raw = data[flat_ranges(offsets[chosen].astype(np.int64), sizes)]
-        piece, place = _later_matches(h[chosen], doc[chosen], sizes, raw, length, chunk)
-        if len(piece):
-            # Runs of neighbouring strings, then every place that has the piece.
-            run = np.concatenate([[True], (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)])
-            low = place[run]
-            high = place[np.append(np.flatnonzero(run)[1:], len(place)) - 1] + length
-            which = by_doc[piece[run]]
-            at, row = at[~copy], row[~copy]
-            number = of[row]  # in order, as the rows are
-            begin = np.searchsorted(number, which, "left")
-            times = np.searchsorted(number, which, "right") - begin
-            take = flat_ranges(begin, times)
-            low, high = np.repeat(low, times), np.repeat(high, times)
-            out.append((row[take], at[take] + low, at[take] + high))
-    row, first, beyond = (np.concatenate(part) for part in zip(*out))
+        differing = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False)[first])
+        differing = differing[np.lexsort((doc[first[differing]], h[first[differing]]))]
+        if len(differing):
+            chosen = first[differing]
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :]
+            data = np.frombuffer(column.buffers()[2], np.uint8)
+            sizes = windows[chosen] + length - 1
+            raw = data[flat_ranges(offsets[chosen].astype(np.int64), sizes)]
+            piece, place = _later_matches(h[chosen], doc[chosen], sizes, raw, length, chunk)
+            if len(piece):
+                # Runs of neighbouring strings, then every place that has the piece.
+                run = np.concatenate([[True], (piece[1:] != piece[:-1]) | (place[1:] != place[:-1] + 1)])
+                low = place[run]
+                high = place[np.append(np.flatnonzero(run)[1:], len(place)) - 1] + length
+                which = differing[piece[run]]
+                having, number = own[~copy], of[~copy]  # the numbers are in order
+                begin = np.searchsorted(number, which, "left")
+                times = np.searchsorted(number, which, "right") - begin
+                row = having[flat_ranges(begin, times)]
+                out.append((row, at[row] + np.repeat(low, times), at[row] + np.repeat(high, times)))
+    row, begin, beyond = (np.concatenate(part) for part in zip(*out))
     return pa.record_batch(
-        [pa.array(doc[row]), pa.array(tag[row]), pa.array(first.astype(np.int32)), pa.array(beyond.astype(np.int32))],
+        [pa.array(doc[row]), pa.array(tag[row]), pa.array(begin.astype(np.int32)), pa.array(beyond.astype(np.int32))],
         ["doc", "tag", "first", "beyond"],
     )
 
@@ -427,7 +480,7 @@ def covered_spans(pieces: DataFrame, length: int, chunk: int) -> DataFrame:
         if held:
             yield _spans(pa.Table.from_batches(held), length, chunk)
 
-    ordered = pieces.repartition("h").sortWithinPartitions("h", "c", "doc", "tag")
+    ordered = pieces.repartition("h").sortWithinPartitions("h", "c", "doc")
     return ordered.mapInArrow(judge, SPAN_SCHEMA)
 
 
@@ -459,11 +512,14 @@ def repeated_strings(
     size = units.agg(F.sum(F.length("raw"))).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // COUNTED_BYTES)
     bucket_bits = min(SPLIT_BITS - 3, max(6, int(partitions).bit_length() + 2))
-    packed = packed_anchors(units, length, bucket_bits)
-    maps = gathered_maps(anchor_maps(packed, bucket_bits, partitions, split_from), bucket_bits)
-    shared, split = (spark.sparkContext.broadcast(bits) for bits in maps)
-
-    pieces = shared_pieces(units.drop("doc_id"), length, shared, split)
+    counted = anchor_maps(packed_anchors(units, length, bucket_bits), bucket_bits, partitions, split_from).collect()
+    bounded = [("shared", SHARED_BITS), ("split", SPLIT_BITS)]
+    shared, split = (spark.sparkContext.broadcast(gathered_map(counted, *of)) for of in bounded)
+    pairs = packed_contents(units, length, bucket_bits, shared, split)
+    told = content_maps(pairs, bucket_bits, partitions).collect()
+    differing = spark.sparkContext.broadcast(gathered_map(told, "shared", SHARED_BITS))
+
+    pieces = shared_pieces(units.drop("doc_id"), length, shared, split, differing)
     spans = covered_spans(pieces, length, chunk)
     per_text = stage(
         spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "beyond")).alias("found")),
