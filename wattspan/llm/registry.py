@@ -6,7 +6,9 @@ from wattspan.llm import (
     decontamination,
     jaccard_join,
     packing,
+    phrases,
     quality,
+    spelling,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -27,10 +29,13 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_vector_search": vector_search.op10_vector_search,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_phrases": phrases.op12_phrases,
     "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 ORACLES = {
     "op3_url_filter": url_filter.SQL,
     "op5_decontamination": decontamination.SQL,
+    "op12_phrases": phrases.SQL,
 }
