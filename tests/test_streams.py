@@ -30,7 +30,7 @@ from wattspan.sinks import (
 from wattspan.sources import SourceSpec, read_lake, read_stream
 from wattspan.streaming import Run, await_all, checkpoint_for
 from wattspan.streaming.jobs import start
-from wattspan.streaming.pipelines import WINDOW_KEYS, write_documents, write_windows
+from wattspan.streaming.pipelines import read_windows, write_documents, write_windows
 
 
 def reading(when, region="West", demand=100.0, grid=1):
@@ -66,11 +66,7 @@ def run_windows(spark, folder, tmp_path, mode):
     query = write_windows(aggregate, out, Run(f"late-{mode}", str(tmp_path / "cp"), mode, None, 4))
     query.awaitTermination()
     schema = flat_window(aggregate).schema
-    table = (
-        spark.read.schema(schema).parquet(out)
-        if mode == "append"
-        else read_upserts(spark, out, schema, WINDOW_KEYS)
-    )
+    table = read_windows(spark, out, schema, mode)
     dropped = sum(
         int(state["numRowsDroppedByWatermark"])
         for progress in query.recentProgress
@@ -105,7 +101,7 @@ def test_many_micro_batches_equal_one_batch(spark, sf_dir, tmp_path):
         query = write_windows(aggregate, out, run)
         query.awaitTermination()
         assert len([p for p in query.recentProgress if p["numInputRows"]]) == 5
-        table = read_upserts(spark, out, flat_window(aggregate).schema, WINDOW_KEYS)
+        table = read_windows(spark, out, flat_window(aggregate).schema, mode)
         assert rows(table, *names) == rows(flat_window(hourly_trend(batch)), *names)
 
 

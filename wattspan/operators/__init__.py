@@ -41,6 +41,7 @@ from wattspan.operators.quality import (
     revalidate,
     split_for_lake,
     split_rejects,
+    tag_for_lake,
     tag_quality,
     validate_source,
     with_soft_fault,

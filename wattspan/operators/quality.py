@@ -18,6 +18,8 @@ from wattspan.operators.parse import BAD_JSON, parse_readings
 from wattspan.schemas import READING_COLUMNS
 
 REASON = "reject_reason"
+# The two targets of the messages of a lake.
+LAKE, REJECTS = "lake", "rejects"
 
 
 def soft_faults(cfg: EngineConfig = DEFAULT_CONFIG) -> dict[str, Column]:
@@ -92,6 +94,21 @@ def split_for_lake(
     return tagged.where(kept).select(*READING_COLUMNS), tagged.where(~kept).select("value", REASON)
 
 
+def tag_for_lake(messages: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
+    """As :func:`split_for_lake` in one frame: ``target`` is ``lake`` or ``rejects``.
+
+    Rows for the lake have the columns of a reading, rejects their message and its fault.
+    """
+    tagged = tag_quality(messages, cfg)
+    kept = F.col(REASON).isNull() | F.col(REASON).isin(*soft_faults(cfg))
+    return tagged.select(
+        F.when(kept, LAKE).otherwise(REJECTS).alias("target"),
+        *(F.when(kept, F.col(name)).alias(name) for name in READING_COLUMNS),
+        F.when(~kept, F.col("value")).alias("value"),
+        F.when(~kept, F.col(REASON)).alias(REASON),
+    )
+
+
 def quality_report(messages: DataFrame, cfg: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
     """Number of messages by first fault, plus all and accepted, in one row."""
     tagged = tag_quality(messages, cfg)

@@ -55,6 +55,7 @@ from wattspan.operators import (
     regional_window,
     revalidate,
     split_rejects,
+    tag_for_lake,
     time_range,
     to_documents,
     to_messages,
@@ -82,19 +83,30 @@ from wattspan.sinks import (
     UpsertSpec,
     read_upserts,
     with_partition_columns,
+    lake_table,
+    read_rejects,
     write_lake,
+    write_lake_and_rejects,
     write_messages,
 )
+from wattspan.sinks.commits import current
+from wattspan.sinks.fanout import pack, read_target
 from wattspan.sources import SourceSpec, read_lake, read_stream
 from wattspan.streaming.control import Run
+from wattspan.streaming.live_spikes import LATE, SPIKE, spike_table, write_live_spikes
+from wattspan.streaming.liveness import Liveness
 from wattspan.streaming.pipelines import (
-    WINDOW_KEYS,
+    SPIKE_FIELDS,
     WINDOW_STATE_PARTITIONS,
     Jobs,
-    beside,
+    read_documents,
+    read_index_rejects,
+    read_windows,
     write_documents,
+    write_index,
     write_windows,
 )
+from wattspan.streaming.rollup import Rollup, write_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -583,11 +595,73 @@ def stream_lake_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     for started in Jobs(spark, source, work_path(spark, "checkpoints")).lake(lake):
         started.awaitTermination()
     kept = with_soft_fault(read_lake(spark, lake)).select(F.lit("lake").alias("target"), "reject_reason")
-    bad = spark.read.schema("value STRING, reject_reason STRING").parquet(beside(lake))
-    both = kept.unionByName(bad.select(F.lit("rejects").alias("target"), "reject_reason"))
+    bad = read_rejects(spark, lake).select(F.lit("rejects").alias("target"), "reject_reason")
+    both = kept.unionByName(bad)
     return both.groupBy("target", "reject_reason").agg(F.count("*").alias("messages"))
 
 
+def _sent(spark: SparkSession, topic: str, cap: int | None = None) -> DataFrame:
+    return read_stream(spark, SourceSpec(topic, kind="parquet", max_per_trigger=cap))
+
+
+def _packed_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake written by a stream of six small batches, twice stopped, and packed as it goes."""
+    topic, lake = work_path(spark, "topic"), work_path(spark, "lake")
+    table = lake_table(lake, pack_every=2)
+    run = Run("packed_lake", work_path(spark, "checkpoints"))
+    for part in _in_turn(readings(spark, sf_dir), "timestamp", 3):
+        write_messages(part.repartition(2), SinkSpec(topic, kind="parquet"))
+        tagged = tag_for_lake(_sent(spark, topic, cap=1))
+        write_lake_and_rejects(tagged, table, run).awaitTermination()
+    return lake
+
+
+@query
+def stream_lake_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings of a lake whose small files are packed while it is written."""
+    return flatten_readings(read_lake(spark, _packed_lake(spark, sf_dir)))
+
+
+@query
+def lake_packed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and rows of each folder of a packed lake, as far as it is packed."""
+    lake = _packed_lake(spark, sf_dir)
+    table = lake_table(lake)
+    pack(spark, table)
+    generation = current(spark, lake)["parts"][-1]
+    rows = spark.read.parquet(table.path(generation)).select("*", "_metadata.file_path")
+    folders = ("year", "month", "day", "hour", "region")
+    return rows.groupBy(*folders).agg(
+        F.count("*").alias("record_count"), F.countDistinct("file_path").alias("files")
+    )
+
+
+@query
+def stream_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in six batches, later replays among them, upserted by one restarted query."""
+    topic, index = work_path(spark, "topic"), work_path(spark, "index")
+    first = readings(spark, sf_dir, keep_id=True)
+    run = Run("stream_index", work_path(spark, "checkpoints"))
+    for batch in (*_in_turn(first, "timestamp", 5), _replayed(first)):
+        write_messages(batch.drop("event_id"), SinkSpec(topic, kind="parquet"))
+        spec = UpsertSpec(index)
+        write_index(_sent(spark, topic), spec, f"{index}_rejects", run).awaitTermination()
+    return read_documents(spark, index)
+
+
+@query
+def stream_index_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the indexer puts each message of a topic: documents and messages without an id."""
+    topic, index = work_path(spark, "topic"), work_path(spark, "index")
+    _faulty_messages(spark, sf_dir).repartition(4).write.parquet(topic)
+    source = SourceSpec(topic, kind="parquet", max_per_trigger=1)
+    jobs = Jobs(spark, source, work_path(spark, "checkpoints"))
+    jobs.index_all(UpsertSpec(index), f"{index}_rejects").awaitTermination()
+    documents = read_documents(spark, index).agg(F.count("*").alias("rows")).select(F.lit("index").alias("target"), "rows")
+    bad = read_index_rejects(spark, f"{index}_rejects").agg(F.count("*").alias("rows"))
+    return documents.unionByName(bad.select(F.lit("rejects").alias("target"), "rows"))
+
+
 # --- streams and spikes ------------------------------------------------------
 
 
@@ -597,9 +671,7 @@ def _windows(spark: SparkSession, aggregate: DataFrame, name: str, mode: str) ->
     run = Run(name, work_path(spark, "checkpoints"), mode, None, WINDOW_STATE_PARTITIONS)
     schema = flat_window(aggregate).schema
     write_windows(aggregate, out, run).awaitTermination()
-    if mode == "append":
-        return spark.read.schema(schema).parquet(out)
-    return read_upserts(spark, out, schema, WINDOW_KEYS)
+    return read_windows(spark, out, schema, mode)
 
 
 @query
@@ -650,6 +722,48 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_table(spark, critical_alerts(stream_readings(spark, sf_dir)), "stream_alerts")
 
 
+def _rollup(spark: SparkSession, sf_dir: str) -> Rollup:
+    """Partial aggregates of a restarted stream that gets every seventh reading last, so late."""
+    topic, out = work_path(spark, "topic"), work_path(spark, "rollup")
+    run = Run("rollup", work_path(spark, "checkpoints"))
+    all_readings = readings(spark, sf_dir, keep_id=True)
+    late = F.col("event_id") % 7 == 0
+    for part in (*_in_turn(all_readings.where(~late), "timestamp"), all_readings.where(late)):
+        write_messages(part.drop("event_id"), SinkSpec(topic, kind="parquet"))
+        decoded = parse_readings(_sent(spark, topic), fields=WINDOW_FIELDS)
+        write_rollup(decoded, out, run).awaitTermination()
+    return Rollup(out)
+
+
+@query
+def stream_rollup_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-minute windows of a stream with late rows, none of which is lost."""
+    return _five_minutes(_rollup(spark, sf_dir).five_minutes(spark))
+
+
+@query
+def stream_rollup_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows made of the five-minute ones by the same query."""
+    return _hourly(_rollup(spark, sf_dir).hourly(spark))
+
+
+@query
+def stream_liveness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the listener saw of a query that reads a topic of four files and ends."""
+    topic, out = work_path(spark, "topic"), work_path(spark, "out")
+    messages(spark, sf_dir).repartition(4).write.parquet(topic)
+    listener = Liveness()
+    spark.streams.addListener(listener)
+    try:
+        run = Run("stream_liveness", work_path(spark, "checkpoints"))
+        read = run.start(_sent(spark, topic, cap=1), lambda w: w.format("parquet").option("path", out))
+        read.awaitTermination()
+        listener.wait_for_end("stream_liveness")
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.table(spark).where("query = 'stream_liveness'").select("query", "messages_seen", "behind", "status")
+
+
 SPIKE_COLUMNS: Sequence[str] = (
     "region",
     "grid_id",
@@ -670,3 +784,30 @@ def stream_demand_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     baseline = stage_baseline(readings(spark, sf_dir))
     spikes = demand_spikes(stream_readings(spark, sf_dir), baseline=baseline)
     return _stream_table(spark, spikes.select(*SPIKE_COLUMNS), "stream_demand_spikes")
+
+
+@query
+def stream_live_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spikes of the hours that a restarted stream has closed, without a baseline table."""
+    topic, out = work_path(spark, "topic"), work_path(spark, "spikes")
+    run = Run("stream_live_spikes", work_path(spark, "checkpoints"), "append", None, WINDOW_STATE_PARTITIONS)
+    for part in _in_turn(readings(spark, sf_dir), "timestamp"):
+        write_messages(part, SinkSpec(topic, kind="parquet"))
+        decoded = parse_readings(_sent(spark, topic), fields=SPIKE_FIELDS)
+        write_live_spikes(decoded, out, run).awaitTermination()
+    return read_target(spark, spike_table(out), SPIKE)
+
+
+@query
+def stream_late_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth reading sent after all others: those whose hour is closed by then."""
+    topic, out = work_path(spark, "topic"), work_path(spark, "spikes")
+    run = Run("stream_late_readings", work_path(spark, "checkpoints"), "append", None, WINDOW_STATE_PARTITIONS)
+    all_readings = readings(spark, sf_dir, keep_id=True)
+    last = F.col("event_id") % 10 == 0
+    for part in (all_readings.where(~last), all_readings.where(last)):
+        write_messages(part.drop("event_id"), SinkSpec(topic, kind="parquet"))
+        decoded = parse_readings(_sent(spark, topic), fields=SPIKE_FIELDS)
+        write_live_spikes(decoded, out, run).awaitTermination()
+    late = read_target(spark, spike_table(out), LATE)
+    return late.select("region", "grid_id", "timestamp", "demand_mw")

@@ -155,7 +155,33 @@ SPIKES = """
 SELECT * FROM based WHERE demand_mw > 1.5e0 * hourly_avg_demand_mw
 """
 
+FILED = """SELECT CAST(year("timestamp") AS INTEGER) AS "year",
+        CAST(month("timestamp") AS INTEGER) AS "month", CAST(day("timestamp") AS INTEGER) AS "day",
+        CAST(hour("timestamp") AS INTEGER) AS "hour", region, count(*) AS record_count"""
+UPSERTED = f"""SELECT {FLAT.format(ts=EPOCH_MS)}, {DOC_ID} AS es_id
+        FROM (SELECT * REPLACE (demand_mw + CASE WHEN i % 10 = 0 THEN 1e0 ELSE 0e0 END
+              AS demand_mw) FROM readings)"""
+# An hour is closed when ten minutes after its end have been seen.
+CLOSED = """date_trunc('hour', "timestamp") + INTERVAL 1 hour
+        <= (SELECT max("timestamp") FROM readings {which}) - INTERVAL 10 minutes"""
+
 BODIES = {
+    "stream_live_spikes": SPIKES + " AND " + CLOSED.format(which=""),
+    "stream_late_readings": f"""SELECT region, grid_id, "timestamp", demand_mw FROM readings
+        WHERE i % 10 = 0 AND {CLOSED.format(which="WHERE i % 10 <> 0")}""",
+    "stream_lake_packed": f"SELECT {FLAT_READING} FROM readings",
+    "lake_packed_files": f"{FILED}, CAST(1 AS BIGINT) AS files FROM readings GROUP BY ALL",
+    "stream_index": UPSERTED,
+    "stream_index_all": FAULTS
+    + f"""SELECT 'index' AS target, count(DISTINCT {DOC_ID}) AS rows FROM judged
+        WHERE reason IS NULL OR reason NOT IN
+          ('unparsable_json', 'empty_message', 'missing_key', 'missing_time')
+        UNION ALL SELECT 'rejects', count(*) FROM judged
+        WHERE reason IN ('unparsable_json', 'empty_message', 'missing_key', 'missing_time')""",
+    "stream_rollup_5min": WINDOW_5MIN,
+    "stream_rollup_hourly": WINDOW_HOURLY,
+    "stream_liveness": """SELECT 'stream_liveness' AS query, count(*) AS messages_seen,
+        CAST(0 AS BIGINT) AS behind, 'stopped' AS status FROM readings""",
     "stream_source": f"SELECT region AS key, {FLAT_READING} FROM readings",
     "lake_roundtrip": f"""SELECT {FLAT_READING} FROM readings
         WHERE "timestamp" >= TIMESTAMP '2024-01-05 06:30:00'

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from wattspan.schemas import PARTITION_COLUMNS
+from wattspan.operators.quality import LAKE, REASON, REJECTS
+from wattspan.schemas import PARTITION_COLUMNS, PARTITION_FIELDS, READING_SCHEMA, struct_of
 from wattspan.session import session_conf
+from wattspan.sinks.fanout import FanOut, read_target, write_fan_out
 from wattspan.streaming.control import Run
 
 
@@ -67,3 +70,26 @@ def write_lake(
         ordered = balanced.sortWithinPartitions(*PARTITION_COLUMNS, "timestamp")
         ordered.write.partitionBy(*PARTITION_COLUMNS).mode(mode).parquet(path)
     return None
+
+
+def lake_table(path: str, pack_every: int | None = None, target_bytes: int = 256 << 20) -> FanOut:
+    """A lake and its rejects as one table of two targets."""
+    calendar = {name: kind for name, kind in PARTITION_FIELDS.items() if name != "region"}
+    extra = struct_of({**calendar, "value": "string", REASON: "string"})
+    schema = StructType([*READING_SCHEMA.fields, *extra.fields])
+    return FanOut(path, schema, PARTITION_COLUMNS, pack_every, target_bytes)
+
+
+def write_lake_and_rejects(tagged: DataFrame, table: FanOut, run: Run) -> StreamingQuery:
+    """Stream messages tagged by :func:`~wattspan.operators.quality.tag_for_lake`, in one pass."""
+    return write_fan_out(with_partition_columns(tagged), table, run)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that a one-pass lake could not file, with their fault."""
+    return read_target(spark, lake_table(path), REJECTS).select("value", REASON)
+
+
+def read_lake_target(spark: SparkSession, path: str) -> DataFrame:
+    """Readings of a one-pass lake with their partition columns."""
+    return read_target(spark, lake_table(path), LAKE).drop("value", REASON)

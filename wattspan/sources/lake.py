@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from wattspan.operators.filters import instant
 from wattspan.schemas import LAKE_SCHEMA, READING_COLUMNS
+from wattspan.sinks.commits import is_committed_table
+from wattspan.sinks.lake import read_lake_target
 
 # year, month, day, hour as one sortable number: 2024011503
 HOUR_NUMBER = "year * 1000000 + month * 10000 + day * 100 + hour"
@@ -42,9 +44,13 @@ def read_lake(
 
     Limits are UTC. Each is applied to ``timestamp``, for row-group skipping,
     and to the calendar partitions, which Spark cannot derive by itself. The
-    schema is given, so no file is opened for planning.
+    schema is given, so no file is opened for planning. A lake written in one pass with its
+    rejects is read through its newest commit.
     """
-    table = spark.read.schema(LAKE_SCHEMA).parquet(path)
+    if is_committed_table(spark, path):
+        table = read_lake_target(spark, path)
+    else:
+        table = spark.read.schema(LAKE_SCHEMA).parquet(path)
     if since is not None:
         since = _utc(since)
         table = table.where(_limit(since, True) & (F.col("timestamp") >= instant(since)))

@@ -23,7 +23,7 @@ from wattspan.sources.messages import SourceSpec
 from wattspan.streaming.control import await_all
 from wattspan.streaming.pipelines import Jobs, beside
 
-JOBS = ("processor", "indexer", "lake", "alerts")
+JOBS = ("processor", "indexer", "lake", "alerts", "spikes")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -35,8 +35,13 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--servers", help="Kafka bootstrap servers")
     cli.add_argument("--files", action="store_true", help="messages are Parquet files")
     cli.add_argument("--windows", help="processor: folder for the aggregates, else the console")
-    cli.add_argument("--mode", default="append", help="processor: output mode of the aggregates")
-    cli.add_argument("--rejects", help="lake, indexer: folder for rejected messages")
+    cli.add_argument(
+        "--mode",
+        default="append",
+        help="processor: output mode of the aggregates, or rollup for one query that loses no late row",
+    )
+    cli.add_argument("--key", default="region", help="processor: column that keys the messages")
+    cli.add_argument("--rejects", help="indexer: where rejected messages go; lake: a folder for them")
     cli.add_argument("--max-per-trigger", type=int, help="rate cap in offsets or files")
     cli.add_argument("--min-partitions", type=int, help="read splits per trigger")
     cli.add_argument("--interval", help="trigger interval; without it, run to the end once")
@@ -60,14 +65,21 @@ def start(spark: SparkSession, arguments: Sequence[str]) -> list[StreamingQuery]
     cfg = EngineConfig.from_yaml(args.config) if args.config else DEFAULT_CONFIG
     jobs = Jobs(spark, source, args.checkpoints, args.interval, cfg)
     if args.job == "processor":
-        republished = jobs.republish(SinkSpec(args.output, kind=kind, servers=args.servers))
+        sink = SinkSpec(args.output, kind=kind, servers=args.servers, key=args.key)
+        republished = jobs.republish(sink)
+        if args.mode == "rollup":
+            if not args.windows:
+                raise SystemExit("--mode rollup needs --windows")
+            return [republished, jobs.rollup(args.windows)]
         return [republished, *jobs.windows(args.windows, args.mode)]
     if args.job == "indexer":
         spec = UpsertSpec(args.output) if args.files else index_spec(args.output)
         near = args.output if args.files else f"{args.checkpoints.rstrip('/')}/indexer"
-        return [jobs.index(spec), jobs.index_rejects(args.rejects or beside(near))]
+        return [jobs.index_all(spec, args.rejects or beside(near))]
     if args.job == "lake":
         return jobs.lake(args.output, args.rejects)
+    if args.job == "spikes":
+        return [jobs.spikes(args.output)]
     return [jobs.alerts(args.output)]
 
 
