@@ -28,11 +28,10 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct ``item_id``, ``size``, ``gram`` of every item.
 
     An item of fewer words than ``window`` but not none is one window of that size; one
-    without words has none. Item ids are strings here; null ones are left out, since
-    nothing could name them.
+    without words has none. Item ids are strings here, and may be null.
     """
     split = items.select(F.col("item_id").cast("string"), words(F.col("text")).alias("w"))
-    split = split.where("size(w) > 0 AND item_id IS NOT NULL")
+    split = split.where("size(w) > 0")
     size = F.least(F.size("w"), F.lit(window))
     starts = F.sequence(F.lit(1), F.size("w") - size + 1)
     return (
@@ -86,7 +85,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id``, ``digest``, ``n_words``, ``spans`` and ``items`` of every row of ``docs``.
 
     ``spans`` are the verified windows (first word from 0, words), ``items`` the ids of the
-    items found, in order as strings. A null or empty text has no words. Repeated rows and
+    items found, in order as strings; an item without an id has spans but is not named. A null or empty text has no words. Repeated rows and
     null ids stay; other columns are ignored. The scan stores, for each document, only the
     windows that hit the set, which are then verified by their words and grouped.
     """
@@ -115,8 +114,9 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     rows = scanned.where("size(hits) > 0").withColumn("hit", F.explode("hits"))
     rows = rows.select("row", "doc_id", "digest", "n_words", "hit.at", "hit.size", "hit.gram")
-    verified = rows.join(grams.withColumnRenamed("size", "gram_size"), "gram", "left")
-    span = F.when(F.col("item_id").isNotNull(), F.struct("at", "size"))
+    known = grams.select("gram", "item_id", F.lit(True).alias("known"))
+    verified = rows.join(known, "gram", "left")
+    span = F.when(F.col("known"), F.struct("at", "size"))
     dirty = verified.groupBy("row", "doc_id", "digest", "n_words").agg(
         F.sort_array(F.collect_set(span)).alias("spans"),
         F.sort_array(F.collect_set("item_id")).alias("items"),
@@ -147,7 +147,7 @@ SQL = r"""
 WITH item_words AS (
     SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(text,
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}') AS w
-    FROM benchmark WHERE item_id IS NOT NULL),
+    FROM benchmark),
 grams AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS size,
         array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS gram

@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMode
     Both samples are at most about ``sample`` documents outside the held-out fifth; their
     features go to the driver. With an empty one the score is 0.5 everywhere.
     """
-    good = labelled_sample(docs, labels.where("quality = 1"), "quality", sample)
+    good = labelled_sample(docs, labels, "quality", sample, only=1)
     p = _matrix(good.withColumn("x", feature_column("text")))
     marked = labels.select(F.col("doc_id").cast("long")).distinct()
     free = docs.select(F.col("doc_id").cast("long")).distinct().join(marked, "doc_id", "left_anti")

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import held_out, table, words_of
+from wattspan.llm.common import held_out, stage, table, words_of
 
 BUCKETS = 1 << 17
 PREFIXES = (4, 5, 6)
@@ -250,26 +250,23 @@ def training_labels(labels: DataFrame, label: str) -> DataFrame:
     return marks.where("label = other").drop("other")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, *columns: str) -> DataFrame:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, limit: int, only: int | None = None
+) -> DataFrame:
     """At most about ``limit`` labelled training documents, those lowest by a hash.
 
-    Of repeated documents one serves.
+    With ``only`` all have that label. Of rows with one id that with the least text serves.
     """
     marks = training_labels(labels, label)
+    if only is not None:
+        marks = marks.where(F.col("label") == only)
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    found = docs.select(F.col("doc_id").cast("long"), "text", *columns).join(chosen, "doc_id")
-    return found.dropDuplicates(["doc_id"])
+    found = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
-def histogram(docs: DataFrame, labels: DataFrame, model: ConvModel, trained: list[int]) -> pd.DataFrame:
-    """``lang``, ``label``, ``logit`` and ``n`` of all examples but those ``trained`` on.
-
-    The driver gets the mean logit and the number of each language's examples by label and
-    bin, not the examples.
-    """
-    used = docs.sparkSession.createDataFrame([(i,) for i in trained], "doc_id long")
-    marks = training_labels(labels, "toxic").join(used, "doc_id", "left_anti")
-    found = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).join(marks, "doc_id")
+def _features(model: ConvModel):
+    """A function column of the whole text: the logit of the model."""
 
     @F.pandas_udf("double")
     def logit(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -278,22 +275,34 @@ def histogram(docs: DataFrame, labels: DataFrame, model: ConvModel, trained: lis
             found = [np.zeros(0)]
             for low in range(0, len(texts), TEXTS_AT_ONCE):
                 words.trim()
-                found.append(model.logits([words(t) for t in texts.iloc[low : low + TEXTS_AT_ONCE]], words))
+                part = [words(t) for t in texts.iloc[low : low + TEXTS_AT_ONCE]]
+                found.append(model.logits(part, words))
             yield pd.Series(np.concatenate(found))
 
-    scored = found.select("doc_id", "lang", "label", logit("text").alias("logit")).dropDuplicates(["doc_id"])
-    binned = scored.groupBy("lang", "label", F.floor(F.col("logit") * BINS_PER_LOGIT).alias("bin"))
+    return logit
+
+
+def histogram(logits: DataFrame, labels: DataFrame, trained: list[int]) -> pd.DataFrame:
+    """``lang``, ``label``, ``logit`` and ``n`` of all examples but those ``trained`` on.
+
+    ``logits`` has ``doc_id``, ``lang`` and ``logit``; no text is shuffled. Of rows with one id
+    the least logit counts, and the least language. The driver gets the mean logit and the
+    number of each language's examples by label and bin, not the examples.
+    """
+    used = logits.sparkSession.createDataFrame([(i,) for i in trained], "doc_id long")
+    marks = training_labels(labels, "toxic").join(used, "doc_id", "left_anti")
+    slim = logits.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "logit").join(marks, "doc_id")
+    each = slim.groupBy("doc_id", "label").agg(F.min("lang").alias("lang"), F.min("logit").alias("logit"))
+    binned = each.groupBy("lang", "label", F.floor(F.col("logit") * BINS_PER_LOGIT).alias("bin"))
     counted = binned.agg(F.avg("logit").alias("logit"), F.count("*").alias("n"))
     return counted.orderBy("lang", "label", "bin").toPandas()
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    """Train on ``labels.toxic``; thresholds are calibrated for each ``lang`` of ``docs``.
+def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[ConvModel, list[int]]:
+    """A model of at most ``sample`` labelled texts, which the driver gets, and their ids.
 
-    The driver gets the texts of at most ``sample`` documents. Calibration takes all other
-    examples. A language's threshold is drawn towards the common one, the more the fewer
-    examples it has. Without any example the model keeps its random start, and its scores
-    mean nothing.
+    Every fifth of them is left for calibration. Without any example the model keeps its
+    random start, and its scores mean nothing.
     """
     rows = (
         labelled_sample(docs, labels, "toxic", sample)
@@ -309,55 +318,95 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     index = np.arange(len(arrays))
     rest = index[index % CALIBRATION != 0]
     model = train([arrays[i] for i in rest], words, y[rest])
-    del arrays
-    thresholds: dict[str, float] = {}
-    tune = histogram(docs, labels, model, [ids[i] for i in rest])
+    return model, [ids[i] for i in rest]
+
+
+def calibrated(model: ConvModel, tune: pd.DataFrame) -> ToxicityModel:
+    """The model with its scale and the thresholds of all languages in ``tune``.
+
+    A language's threshold is drawn towards the common one, and that towards 0.5, the more
+    the fewer examples of its rarer label there are. Scale and shift need examples of both
+    labels, and with few stay near 1 and 0.
+    """
     logits, marks, counts = (tune[c].to_numpy(np.float64) for c in ("logit", "label", "n"))
-    if counts.sum() < 50 or len(set(marks)) < 2:
-        return ToxicityModel(model, thresholds, 0.5)
-    model.scale, model.shift = platt(logits, marks, counts)
-    scores = sigmoid(model.scale * logits + model.shift)
-    default = best_threshold(scores, marks, counts)
-    for lang in tune.lang.dropna().unique():
-        own = (tune.lang == lang).to_numpy()
+
+    def drawn(own: np.ndarray, towards: float) -> float:
         toxic = (marks * counts)[own].sum()
         rarer = min(toxic, counts[own].sum() - toxic)
         value = best_threshold(scores[own], marks[own], counts[own])
-        thresholds[str(lang)] = float((rarer * value + SMOOTHING * default) / (rarer + SMOOTHING))
-    return ToxicityModel(model, thresholds, default)
+        return float((rarer * value + SMOOTHING * towards) / (rarer + SMOOTHING))
 
+    if len(set(marks)) == 2:
+        model.scale, model.shift = platt(logits, marks, counts)
+    scores = sigmoid(model.scale * logits + model.shift)
+    default = drawn(np.ones(len(marks), bool), 0.5)
+    langs = tune.lang.dropna().unique()
+    thresholds = {str(lang): drawn((tune.lang == lang).to_numpy(), default) for lang in langs}
+    return ToxicityModel(model, thresholds, default)
 
-def score(docs: DataFrame, fitted: ToxicityModel) -> DataFrame:
-    """``docs`` with a ``toxicity`` score of each whole text and whether it is ``toxic``.
 
-    The score depends on the text alone; ``toxic`` applies the threshold of the row's
-    ``lang``, or the common one where the language is null or has no example. Null and empty
-    texts get the score of no words. Repeated rows and null ids stay.
-    """
-    model = fitted.model
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
+    """Train on ``labels.toxic`` and calibrate on all other examples among ``docs``."""
+    model, ids = trained(docs, labels, sample)
+    logits = docs.select("doc_id", "lang", _features(model)("text").alias("logit"))
+    return calibrated(model, histogram(logits, labels, ids))
 
-    @F.pandas_udf("double")
-    def toxicity(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Vocabulary()
-        for texts in frames:
-            found = [np.zeros(0)]
-            for low in range(0, len(texts), TEXTS_AT_ONCE):
-                words.trim()
-                part = [words(t) for t in texts.iloc[low : low + TEXTS_AT_ONCE]]
-                found.append(model.scores(part, words))
-            yield pd.Series(np.concatenate(found))
 
+def _limit(fitted: ToxicityModel) -> Column:
     limit = F.lit(fitted.default)
     for lang, value in sorted(fitted.thresholds.items()):
         limit = F.when(F.col("lang") == lang, value).otherwise(limit)
-    scored = docs.withColumn("toxicity", toxicity("text"))
-    return scored.withColumn("toxic", F.col("toxicity") >= limit)
+    return limit
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or with underscores added until no column has it, whatever its case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _judged(rows: DataFrame, logit: str, fitted: ToxicityModel, names: tuple[str, str]) -> DataFrame:
+    """Score and verdict from the logit of every row."""
+    value = 1 / (1 + F.exp(-(fitted.model.scale * F.col(logit) + fitted.model.shift)))
+    scored = rows.withColumn(names[0], value)
+    return scored.withColumn(names[1], F.col(names[0]) >= _limit(fitted))
+
+
+def score(docs: DataFrame, fitted: ToxicityModel, names: tuple[str, str] = ("toxicity", "toxic")) -> DataFrame:
+    """``docs`` with a score of each whole text and whether it is toxic, by the given names.
+
+    The score depends on the text alone; the verdict applies the threshold of the row's
+    ``lang``, or the common one where the language is null or has no example. Null and empty
+    texts get the score of no words. Repeated rows and null ids stay. Columns of ``docs`` that
+    have one of the names are replaced.
+    """
+    logit = free_name([*docs.columns, *names], "logit")
+    rows = docs.withColumn(logit, _features(fitted.model)("text"))
+    return _judged(rows, logit, fitted, names).drop(logit)
+
+
+def scored_once(
+    docs: DataFrame, labels: DataFrame, kept: list[str], names: tuple[str, str] = ("toxicity", "toxic")
+) -> DataFrame:
+    """Train, calibrate and judge with a single pass of scoring over ``docs``.
+
+    The logit of every row is stored with the columns ``kept``, among them ``doc_id`` and
+    ``lang``; calibration and verdict read it from there.
+    """
+    model, ids = trained(docs, labels)
+    logit = free_name([*docs.columns, *names], "logit")
+    logits = docs.withColumn(logit, _features(model)("text")).select(*kept, logit)
+    stored = stage(logits, "toxicity-logits")
+    tune = histogram(stored.select("doc_id", "lang", F.col(logit).alias("logit")), labels, ids)
+    return _judged(stored, logit, calibrated(model, tune), names).drop(logit)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every one of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    scored = scored_once(docs, table(spark, sf_dir, "labels"), ["doc_id", "lang"])
     return scored.select(
         F.col("doc_id").cast("long"),
         held_out(F.col("doc_id")).alias("held_out"),

@@ -151,7 +151,8 @@ def search(
     id is no candidate; ties go to the smaller id. Equal vectors are searched once, as
     one entry with its ``k + 1`` smallest ids, which is all that a result can show. The number
     of lists follows the square root of that of vectors unless ``lists`` is given;
-    ``probes`` is the share of them that a query visits.
+    ``probes`` is the share of them that a query visits, or more where as many of the smallest
+    lists would not hold ``k`` entries besides its own.
     """
     spark = vectors.sparkSession
     kind = vectors.schema["embedding"].dataType.simpleString()
@@ -173,7 +174,6 @@ def search(
     dim = len(arrow.column(0)[0])
     wanted = lists or min(MAX_LISTS, max(1, round(LISTS_PER_ROOT * math.sqrt(total))))
     centers = centroids(_matrix(arrow.column(0), dim), wanted)
-    visited = max(1, min(len(centers), math.ceil(probes * len(centers))))
 
     def visits(matrix: np.ndarray) -> np.ndarray:
         return np.argpartition(matrix @ centers.T, -visited, axis=1)[:, -visited:]
@@ -188,8 +188,12 @@ def search(
     # Lists are put together into bins, and large ones are dealt over several.
     bins = max(1, math.ceil(total / VECTOR_BLOCK))
     blocks = np.ones(len(centers), np.int64)
+    sizes = np.zeros(len(centers), np.int64)
     for row in filed.groupBy("list").count().collect():  # one row per list
+        sizes[row["list"]] = row["count"]
         blocks[row["list"]] = min(bins, math.ceil(row["count"] / VECTOR_BLOCK))
+    enough = int(np.searchsorted(np.cumsum(np.sort(sizes)), min(total, k + 1))) + 1
+    visited = max(1, min(len(centers), max(enough, math.ceil(probes * len(centers)))))
     asked = queries.select("embedding").distinct().withColumn("query", F.monotonically_increasing_id())
     asked = stage(asked, "vector-queries")
     query_blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
