@@ -16,13 +16,14 @@ from wattspan.llm.decontamination import scan
 from wattspan.llm.jaccard_join import jaccard_join
 from wattspan.llm.packing import pack, token_pieces
 from wattspan.llm.substring_dedup import remove_repeats, repeated_passages
-from wattspan.llm.toxicity import fit, score
+from wattspan.llm.toxicity import free_name, scored_once
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold of their language."""
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
-    return scored.where(~F.col("toxic")).select(*docs.columns)
+    names = free_name(docs.columns, "toxicity"), free_name(docs.columns, "toxic")
+    judged = scored_once(docs, table(spark, sf_dir, "labels"), docs.columns, names)
+    return judged.where(~F.col(names[1])).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
