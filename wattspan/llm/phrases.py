@@ -12,6 +12,7 @@ phrases counted.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -30,8 +31,8 @@ SCALE = 2_000_000
 NO_LANG = "und"
 # One document in so many is sampled, and the share of the expected count that is enough there.
 SAMPLED_ONE_IN, LOWERED = 8, 0.5
-# Bits of the map of proposed phrases: 32 MB.
-MAP_BITS = 28
+# Bits of the map of proposed phrases: 16 MB.
+MAP_BITS = 27
 # Bytes of text that a task takes up at once.
 TAKEN_BYTES = 16 << 20
 # The first of the bits of a phrase's hash number its part of the map.
@@ -113,6 +114,29 @@ class Words:
         return [p.replace(b"\t", b" ") for p in phrases] if b"\t" in raw else phrases
 
 
+_OPENED: dict[str, np.ndarray] = {}
+
+
+class PhraseMap:
+    """A map of phrases for all tasks. It travels compressed, so that a sparse one is small."""
+
+    def __init__(self, spark: SparkSession, bits: np.ndarray) -> None:
+        self.name = uuid.uuid4().hex
+        self.sent = spark.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
+
+    @property
+    def value(self) -> np.ndarray:
+        """The map, unpacked once for each process; a process keeps the last two."""
+        if self.name not in _OPENED:
+            while len(_OPENED) > 1:
+                _OPENED.pop(next(iter(_OPENED)))
+            _OPENED[self.name] = np.frombuffer(zlib.decompress(self.sent.value), np.uint8)
+        return _OPENED[self.name]
+
+    def drop(self) -> None:
+        self.sent.unpersist()
+
+
 def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     index = hashes >> np.uint64(64 - MAP_BITS)
     return (bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -187,7 +211,7 @@ def border_counts(docs: DataFrame, proposed, counted=None) -> DataFrame:
 
 
 def _proposed_map(hashes: DataFrame, bits: np.ndarray | None = None) -> np.ndarray:
-    """The map with all ``hashes`` set, besides those of ``bits``: 32 MB at any size."""
+    """The map with all ``hashes`` set, besides those of ``bits``: 16 MB at any size."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, np.ndarray] = {}
@@ -240,12 +264,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, one_in: int = SAMPLED_
     seen = all_counts(sample).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= enough)
     bits, counted, found = _proposed_map(seen), None, None
     while True:
-        proposed = spark.sparkContext.broadcast(bits)
+        proposed = PhraseMap(spark, bits)
         rows = _summed(border_counts(units, proposed, counted), least)
         rows = stage(rows, "phrases")
         found = rows if found is None else found.unionByName(rows)
         outside = rows.where(F.col("size") < LONGEST).mapInArrow(_outside(proposed), "hash LONG")
         grown = _proposed_map(outside, bits)
+        if counted is not None:
+            counted.drop()
         if np.array_equal(grown, bits):
             break
         bits, counted = grown, proposed
