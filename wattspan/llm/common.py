@@ -26,11 +26,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
     The files survive lost executors, and what later reads them sees one and the
-    same result even where the plan before is not deterministic.
+    same result even where the plan before is not deterministic. Shuffle files of the plan
+    are of no more use then; Spark removes those of plans that the driver's JVM has collected,
+    so it is asked to, rather than leaving them on the executors' disks for the whole job.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
     df.write.parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
