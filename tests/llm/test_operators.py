@@ -338,8 +338,9 @@ def test_rows_between_unlike_ends_of_a_key_are_compared(spark, monkeypatch):
     kinds = ["first", "b", "c", "d", "e", "b", "c", "d", "e", "last"]
     table = spark.createDataFrame([(k, text(k, x)) for k, x in enumerate(kinds)], "doc_id long, text string").coalesce(1)
     # One key that all have, so that nothing but it brings rows together.
-    one_key = (F.lit(180).cast("long").alias("n_words"), F.array(F.lit(1).cast("long")).alias("keys"), F.array(F.lit(85)).alias("places"))
-    monkeypatch.setattr(substring_dedup, "_passages", lambda docs, *_: docs.select("doc_id", "digest", *one_key))
+    one_key = {"keys": F.array(F.lit(1).cast("long")), "places": F.array(F.lit(85))}
+    real = substring_dedup._passages
+    monkeypatch.setattr(substring_dedup, "_passages", lambda *x: real(*x).withColumns(one_key))
     got = {r.doc_id: (len(r.repeats), len(r.originals)) for r in repeated_passages(table).collect()}
     assert got == {k: (int(5 <= k <= 8), int(1 <= k <= 4)) for k in range(10)}
 
@@ -358,7 +359,7 @@ def test_thresholds_follow_all_labelled_documents(spark, monkeypatch):
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
     seen, histogram = [], toxicity.histogram
-    monkeypatch.setattr(toxicity, "histogram", lambda *x: seen.append((histogram(*x), x[3])) or seen[0][0])
+    monkeypatch.setattr(toxicity, "histogram", lambda *x: seen.append((histogram(*x), x[2])) or seen[0][0])
     fitted = toxicity.fit(table, labels, sample=200)
     folds = toxicity.training_labels(labels, "toxic").count()
     # A rare language has its own, and all examples that were not trained on take part.

@@ -26,6 +26,9 @@ THRESHOLD = 0.8
 # windows always do, windows of similarity s with a chance of 1 - (1 - s^2)^PAIRS (0.95 at
 # 0.8), each time one slides on.
 PAIRS = 3
+# Bits of the sketch of a key's surroundings, kept in numbers of 64.
+SKETCH_BITS = 512
+SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 # The verification looks for dense places in a pair of texts by at most so many cells.
 CELLS_AT_ONCE = 4_000_000
 # A task of the verification keeps the n-grams of the texts met most recently, up to so many.
@@ -77,27 +80,84 @@ def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
 
     def find(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
-            counts, keys, places = [], [], []
+            counts, keys, places, grams = [], [], [], []
             for text in batch.column(2):
                 words = hashed_words(text.as_py())
                 counts.append(len(words))
                 if len(words) < length:
                     keys.append([])
                     places.append([])
+                    grams.append(b"")
                 else:
-                    key, place = passage_keys(shingle_hashes(words, shingle), width)
+                    shingles = shingle_hashes(words, shingle)
+                    key, place = passage_keys(shingles, width)
                     keys.append(key)
                     places.append(place)
+                    grams.append((shingles % np.uint64(SKETCH_BITS)).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                names=["doc_id", "digest", "n_words", "keys", "places"],
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())),
+                 pa.array(grams, pa.binary())],
+                names=["doc_id", "digest", "n_words", "keys", "places", "grams"],
             )
 
-    schema = "doc_id long, digest string, n_words long, keys array<long>, places array<int>"
+    schema = "doc_id long, digest string, n_words long, keys array<long>, places array<int>, grams binary"
     return docs.mapInArrow(find, schema)
 
 
+def sketch(grams: np.ndarray, places: list[int], width: int) -> tuple[np.ndarray, int]:
+    """Bits of the shingles around ``places``, and how many shingles set none of their own.
+
+    All windows of ``width`` shingles that hold one of the places lie in the surroundings.
+    """
+    around = np.add.outer(places, np.arange(1 - width, width)).ravel()
+    around = around[(around >= 0) & (around < len(grams))]
+    if len(places) > 1:
+        around = np.unique(around)
+    bits = np.zeros(SKETCH_BITS, bool)
+    bits[grams[around]] = True
+    return np.packbits(bits).view(np.int64), len(around) - int(np.count_nonzero(bits))
+
+
+def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
+    """``hits`` with the sketch of their places."""
+    own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "places")).alias("own"))
+    joined = own.join(passages.select("row", "grams"), "row")
+
+    def add(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batch_iter:
+            rows, keys, places, sketches, lost = [], [], [], [], []
+            for row, own, raw in zip(*(batch.column(c).to_pylist() for c in ("row", "own", "grams"))):
+                grams = np.frombuffer(raw, np.uint16)
+                for hit in own:
+                    bits, gone = sketch(grams, hit["places"], width)
+                    rows.append(row)
+                    keys.append(hit["key"])
+                    places.append(hit["places"])
+                    sketches.append(bits)
+                    lost.append(gone)
+            numbers = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
+            columns = [pa.array(keys, pa.int64()), pa.array(rows, pa.int64()), pa.array(places, pa.list_(pa.int32()))]
+            columns += [pa.array(numbers[:, k]) for k in range(len(SKETCH))]
+            names = ["key", "row", "places", *SKETCH, "lost"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lost, pa.int32())], names=names)
+
+    numbers = ", ".join(f"{name} long" for name in SKETCH)
+    return joined.mapInArrow(add, f"key long, row long, places array<int>, {numbers}, lost int")
+
+
+def may_match(width: int, threshold: float) -> Column:
+    """Whether windows around two rows' places of a key can be similar, by the sketches alone.
+
+    Two sets of at least ``threshold`` have ``threshold / (1 + threshold)`` of their sizes in
+    common. A shingle that repeats, or shares a bit, lowers a size or the common bits by one,
+    and of those that both have it lowers both sides: no similar pair is turned away.
+    """
+    common = sum((F.bit_count(F.col(name).bitwiseAND(F.col(f"other_{name}"))) for name in SKETCH), F.lit(0))
+    needed = 2 * width * threshold / (1 + threshold) - 1e-6
+    return common >= F.lit(needed) - 0.5 * (F.col("lost") + F.col("other_lost"))
+
+
 def runs_of(covered: np.ndarray) -> Iterator[tuple[int, int]]:
     """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
@@ -374,7 +434,8 @@ def repeated_passages(
     share a key, all are compared with the first; those in which the key's place is no repeat
     by then are compared with the next few, and so on until all are through, so a hot
     passage takes linear work where its rows repeat the first ones. Rows that share a key but
-    no passage are all compared. The order of rows is that of the input's partitions. An
+    no passage are all compared, by sketches of the key's surroundings first: texts are
+    fetched only where windows around the key can be similar. The order of rows is that of the input's partitions. An
     exact copy of an earlier text is one repeat as a whole, and no original. Texts with fewer
     words, empty or null, have no passages. ``docs`` needs ``doc_id`` and ``text``; other
     columns are ignored.
@@ -393,6 +454,8 @@ def repeated_passages(
     shared = keyed.groupBy("key").agg(F.min("row").alias("least"), F.max("row").alias("last"))
     hits = keyed.join(shared.where("least < last").select("key"), "key")
     hits = hits.groupBy("key", "row").agg(F.collect_set("place").alias("places"))
+    width = length - shingle + 1
+    hits = _with_sketch(hits, passages, width)
     by_key = Window.partitionBy("key")
     hits = hits.withColumn("nth", F.row_number().over(by_key.orderBy("row")))
     members = stage(hits.withColumn("n", F.count("*").over(by_key)), "passage-members")
@@ -410,8 +473,11 @@ def repeated_passages(
     waiting = members.withColumn("shared", F.lit(False))
     while True:
         # Rows whose passage later rows repeat need earlier ones only.
-        others = members.where((F.col("nth") > low) & (F.col("nth") <= high)).select("key", F.col("row").alias("other"))
+        others = members.where((F.col("nth") > low) & (F.col("nth") <= high)).select(
+            "key", F.col("row").alias("other"), *(F.col(c).alias(f"other_{c}") for c in (*SKETCH, "lost"))
+        )
         met = waiting.join(others, "key").where("row <> other AND (other < row OR NOT shared)")
+        met = met.where(may_match(width, threshold))
         pairs = met.select(F.greatest("row", "other").alias("row"), F.least("row", "other").alias("other")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["row", "other"], "left_anti")
@@ -440,7 +506,7 @@ def repeated_passages(
         F.sort_array(F.collect_list(F.when(F.col("kept"), span))).alias("originals"),
     )
     none = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
-    return passages.drop("keys", "places").join(spans, "row", "left").select(
+    return passages.drop("keys", "places", "grams").join(spans, "row", "left").select(
         "doc_id", "digest", "n_words",
         F.coalesce("repeats", none).alias("repeats"), F.coalesce("originals", none).alias("originals"),
     )
