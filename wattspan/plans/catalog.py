@@ -7,6 +7,7 @@ cluster adds them is not fixed; the operators themselves do not round them.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,7 @@ from wattspan.sinks import (
     with_partition_columns,
     lake_table,
     read_rejects,
+    write_console,
     write_lake,
     write_lake_and_rejects,
     write_messages,
@@ -764,6 +766,18 @@ def stream_liveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listener.table(spark).where("query = 'stream_liveness'").select("query", "messages_seen", "behind", "status")
 
 
+@query
+def console_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows as they were printed by the last batch of a complete query."""
+    printed = io.StringIO()
+    aggregate = flat_window(hourly_trend(stream_readings(spark, sf_dir)))
+    run = Run("console_windows", work_path(spark, "checkpoints"), "complete", None, WINDOW_STATE_PARTITIONS)
+    write_console(aggregate, run, rows=None, out=printed).awaitTermination()
+    last = printed.getvalue().split("# batch ")[-1].splitlines()[1:]
+    lines = spark.createDataFrame([(line,) for line in last], "line STRING")
+    return _hourly(lines.select(F.inline(F.array(F.from_json("line", aggregate.schema)))))
+
+
 SPIKE_COLUMNS: Sequence[str] = (
     "region",
     "grid_id",

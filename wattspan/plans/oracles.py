@@ -178,6 +178,7 @@ BODIES = {
           ('unparsable_json', 'empty_message', 'missing_key', 'missing_time')
         UNION ALL SELECT 'rejects', count(*) FROM judged
         WHERE reason IN ('unparsable_json', 'empty_message', 'missing_key', 'missing_time')""",
+    "console_windows": WINDOW_HOURLY,
     "stream_rollup_5min": WINDOW_5MIN,
     "stream_rollup_hourly": WINDOW_HOURLY,
     "stream_liveness": """SELECT 'stream_liveness' AS query, count(*) AS messages_seen,
