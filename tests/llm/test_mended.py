@@ -93,3 +93,14 @@ def test_convolution_and_maxima_equal_plain_loops():
     together = model.logits(arrays, words)
     assert np.allclose(together, result @ model.out + model.bias)
     assert np.allclose(model.scores(arrays, words), 1 / (1 + np.exp(-(model.scale * together + model.shift))))
+
+
+def test_rows_without_words_all_stay(spark):
+    from wattspan.llm.common import digest, keep_rows
+
+    rows = [(None, None, 1), (None, "", 2), (None, "", 3), (None, "...", 4), (7, "a b", 5), (7, "a b", 6), (None, "é", 7), (None, "é", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    named = docs.select("doc_id", digest(F.col("text")).alias("digest"))
+    kept = [r["n"] for r in keep_rows(docs, named, once=True).collect()]
+    assert sorted(k for k in kept if k <= 4) == [1, 2, 3, 4]
+    assert len(kept) == 6

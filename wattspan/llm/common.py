@@ -15,6 +15,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 # Words: runs of digits, a-z and everything beyond ASCII, once A-Z is lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORDS = re.compile(WORD)
+ANY_WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
 
@@ -101,7 +102,8 @@ def keep_rows(
     """The rows of ``docs`` that have, or with ``left_anti`` have not, a row in ``rows``.
 
     ``rows`` names them by ``doc_id``, which may be null, and ``digest`` of the text. With
-    ``once``, one of several rows with the same id and text stays.
+    ``once``, one of several rows with the same id and text stays, but all whose text has no
+    words, since such rows are no copies of each other.
     """
     key = ["_id", "_none", "_digest"]
 
@@ -113,7 +115,12 @@ def keep_rows(
 
     named = keyed(rows, F.col("digest")).select(key).distinct()
     kept = keyed(docs, digest(F.col("text"))).join(named, key, how)
-    return (kept.dropDuplicates(key) if once else kept).select(docs.columns)
+    if once:
+        # Rows without words are told apart by a number of their own.
+        worded = F.coalesce(F.col("text").rlike(ANY_WORD), F.lit(False))
+        kept = kept.withColumn("_own", F.when(worded, 0).otherwise(F.monotonically_increasing_id()))
+        kept = kept.dropDuplicates([*key, "_own"])
+    return kept.select(docs.columns)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
