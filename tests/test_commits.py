@@ -246,3 +246,16 @@ def test_new_jobs_on_files(spark, tmp_path):
     await_all(spark, start(spark, ["indexer", *base, str(tmp_path / "i")]))
     assert read_documents(spark, str(tmp_path / "i")).count() == 15
     assert read_index_rejects(spark, str(tmp_path / "i_rejects")).count() == 3
+
+
+def test_packing_as_the_stream_goes_keeps_few_parts_and_rewrites_little(spark, tmp_path):
+    schema = spark.range(1).schema
+    table = FanOut(str(tmp_path / "t"), schema, pack_every=2)
+    written = 0
+    for number in range(24):
+        commit_batch(spark.range(number * 50, number * 50 + 50).withColumn("target", F.lit("x")).coalesce(1), number, table)
+        parts = current(spark, table.location)["parts"]
+        assert len(parts) <= 6
+        written += parts[-1].startswith("g")
+    assert written >= 6
+    assert [r.id for r in read_target(spark, table, "x").orderBy("id").collect()] == list(range(24 * 50))

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from wattspan.session import session_conf
-from wattspan.sinks.commits import DATA, NO_BATCH, current, expire, is_new, publish
+from wattspan.sinks.commits import DATA, NO_BATCH, current, expire, is_new, publish, size_of
 from wattspan.streaming.control import Run
 
 TARGET = "target"
@@ -30,14 +30,16 @@ class FanOut:
 
     ``schema`` has the columns of all targets, without ``target``; those a target does not
     use are NULL and take no room. ``partition_by`` names columns that become folders below
-    the target. With ``pack_every`` so many batches are packed as the stream goes, into files
-    of about ``target_bytes``.
+    the target. Every ``pack_every`` batches are packed as the stream goes, into files of about
+    ``target_bytes``; generations of like size are packed together, so that there are few and a
+    row is rewritten about as often as the logarithm of the table's size. ``None`` packs none.
     """
 
     location: str
     schema: StructType
     partition_by: Sequence[str] = ()
-    pack_every: int | None = None
+    pack_every: int | None = 64
+    ratio: int = 2
     target_bytes: int = 256 << 20
     order_by: Sequence[str] = field(default=("timestamp",))
 
@@ -68,8 +70,12 @@ def commit_batch(batch: DataFrame, batch_id: int, table: FanOut, writer: str = "
         _save(batch.hint("rebalance", *table.folders), table, f"b{batch_id:012d}")
     parts = [*state.get("parts", []), f"b{batch_id:012d}"]
     state = publish(spark, table.location, {**state, "batch": batch_id, "writer": writer, "parts": parts})
-    if table.pack_every and len(parts) > table.pack_every:
-        pack(spark, table)
+    if table.pack_every and len(_batches(parts)) >= table.pack_every:
+        pack(spark, table, whole=False)
+
+
+def _batches(parts: Sequence[str]) -> list[str]:
+    return [part for part in parts if part.startswith("b")]
 
 
 def write_fan_out(df: DataFrame, table: FanOut, run: Run) -> StreamingQuery:
@@ -112,14 +118,28 @@ def _bins(table: FanOut) -> Column:
     return F.coalesce(F.floor(micros * files / 3_600_000_000), spread)
 
 
-def pack(spark: SparkSession, table: FanOut) -> None:
-    """Pack all committed parts into one generation and commit it in their place.
+def _due(spark: SparkSession, table: FanOut, parts: Sequence[str]) -> list[str]:
+    """The batches not packed yet, and the generations before them that are not much larger."""
+    first = len(parts) - len(_batches(parts))
+    later = sum(size_of(spark, table.path(part)) for part in parts[first:])
+    while first > 0:
+        size = size_of(spark, table.path(parts[first - 1]))
+        if size >= table.ratio * later:
+            break
+        first, later = first - 1, later + size
+    return list(parts[first:])
+
+
+def pack(spark: SparkSession, table: FanOut, whole: bool = True) -> None:
+    """Pack committed parts into one generation and commit it in their place.
 
-    A folder of ``b`` bytes gets at most ``ceil(b / target_bytes)`` files. Parts replaced by
-    the commit before this one are removed; the ones replaced now stay for current readers.
+    A folder of ``b`` bytes in these parts gets at most ``ceil(b / target_bytes)`` files. All
+    parts are packed, or without ``whole`` those that are due. Parts replaced by the generation
+    before this one are removed; the ones replaced now stay for current readers.
     """
     state = current(spark, table.location)
-    parts = state.get("parts", [])
+    before = state.get("parts", [])
+    parts = before if whole else _due(spark, table, before)
     if state["batch"] == NO_BATCH or len(parts) < 2:
         return
     file = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size")
@@ -137,6 +157,6 @@ def pack(spark: SparkSession, table: FanOut) -> None:
     dealt = binned.repartition(*folders, BIN).sortWithinPartitions(*folders, BIN, *order).drop(BIN)
     generation = f"g{state['batch']:012d}-{state['commit']:012d}"
     _save(dealt, table, generation)
-    publish(spark, table.location, {**state, "parts": [generation], "replaced": parts})
-    kept = {f"{PART}={part}" for part in (generation, *parts)}
-    expire(spark, table.location, kept)
+    after = [*before[: len(before) - len(parts)], generation]
+    publish(spark, table.location, {**state, "parts": after})
+    expire(spark, table.location, {f"{PART}={part}" for part in (*after, *parts)})

@@ -72,12 +72,12 @@ def write_lake(
     return None
 
 
-def lake_table(path: str, pack_every: int | None = None, target_bytes: int = 256 << 20) -> FanOut:
+def lake_table(path: str, pack_every: int | None = 64, target_bytes: int = 256 << 20) -> FanOut:
     """A lake and its rejects as one table of two targets."""
     calendar = {name: kind for name, kind in PARTITION_FIELDS.items() if name != "region"}
     extra = struct_of({**calendar, "value": "string", REASON: "string"})
     schema = StructType([*READING_SCHEMA.fields, *extra.fields])
-    return FanOut(path, schema, PARTITION_COLUMNS, pack_every, target_bytes)
+    return FanOut(path, schema, PARTITION_COLUMNS, pack_every=pack_every, target_bytes=target_bytes)
 
 
 def write_lake_and_rejects(tagged: DataFrame, table: FanOut, run: Run) -> StreamingQuery:

@@ -51,9 +51,6 @@ SPIKE_FIELDS = ("timestamp", "region", "grid_id", "demand_mw")
 
 REJECTED = "rejected"
 
-# Batches after which the small files of a lake are packed.
-LAKE_PACK_EVERY = 64
-
 
 @dataclass(frozen=True)
 class Jobs:
@@ -139,7 +136,7 @@ class Jobs:
         of its own, into plain folders of Spark's file sink.
         """
         if rejects is None:
-            tagged, table = tag_for_lake(self.messages(), self.cfg), lake_table(path, LAKE_PACK_EVERY)
+            tagged, table = tag_for_lake(self.messages(), self.cfg), lake_table(path)
             return [write_lake_and_rejects(tagged, table, self.run("lake"))]
         good, bad = split_for_lake(self.messages(), self.cfg)
         return [
