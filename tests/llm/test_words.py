@@ -76,7 +76,7 @@ def word_docs(seed):
     return docs + docs[:2] + [(1, None, None), (2, "", "en"), (3, "... 12 ###", "de")]
 
 
-@pytest.mark.parametrize("options", [{}, {"symbols": 2, "split_from": 3}, {"symbols": 8}])
+@pytest.mark.parametrize("options", [{}, {"symbols": 1, "split_from": 2}, {"symbols": 8}])
 def test_spelling_equals_brute_force(spark, options):
     docs = word_docs(5)
     expected = brute_spelling(docs)

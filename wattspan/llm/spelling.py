@@ -200,14 +200,20 @@ def last_keys(words: list[str], keys: np.ndarray, symbols: int) -> np.ndarray:
     return out
 
 
+def _groups(rows: pa.Table) -> np.ndarray:
+    """Numbers of the groups, a key and a part of it each, of rows in order of both."""
+    key, part = (rows.column(name).to_numpy() for name in ("key", "part"))
+    return np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
+
+
 def _pairs(rows: pa.Table, symbols: int) -> Iterator[pa.RecordBatch]:
-    """Near words of the words asked for in ``rows``, which hold whole keys in order."""
-    keys = rows.column("key").to_numpy()
+    """Near words of the words asked for in ``rows``, which hold whole groups in order."""
+    keys, group = rows.column("key").to_numpy(), _groups(rows)
     n = rows.column("n").combine_chunks()
     is_known = n.is_valid().to_numpy(zero_copy_only=False)
     known_at, asked_at = np.flatnonzero(is_known), np.flatnonzero(~is_known)
-    low = np.searchsorted(keys[known_at], keys[asked_at], "left")
-    times = np.searchsorted(keys[known_at], keys[asked_at], "right") - low
+    low = np.searchsorted(group[known_at], group[asked_at], "left")
+    times = np.searchsorted(group[known_at], group[asked_at], "right") - low
     asked_at, low, times = asked_at[times > 0], low[times > 0], times[times > 0]
     if not len(asked_at):
         return
@@ -262,13 +268,13 @@ def near_words(
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            held.append(batch.select(["key", "word", "n"]))
+            held.append(batch)
             size += batch.num_rows
             if size < at_once:
                 continue
             rows = pa.Table.from_batches(held)
-            keys = rows.column("key").to_numpy()
-            edge = int(np.searchsorted(keys, keys[-1], "left"))
+            group = _groups(rows)
+            edge = int(np.searchsorted(group, group[-1], "left"))
             if edge:
                 yield from _pairs(rows.slice(0, edge), symbols)
                 held = rows.slice(edge).combine_chunks().to_batches()
@@ -276,8 +282,7 @@ def near_words(
         if held:
             yield from _pairs(pa.Table.from_batches(held), symbols)
 
-    # Two parts of a key in one task would be one group; that only joins what was dealt apart.
-    dealt = both.repartition("key", "part").sortWithinPartitions("key")
+    dealt = both.repartition("key", "part").sortWithinPartitions("key", "part")
     partial = dealt.mapInArrow(compare, NEAR_SCHEMA)
     best = F.min(F.struct("minus_n", "form"))
     total = partial.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
