@@ -34,7 +34,7 @@ SAMPLED_ONE_IN, LOWERED = 8, 0.5
 # Bits of the map of proposed phrases: 16 MB.
 MAP_BITS = 27
 # Bytes of text that a task takes up at once.
-TAKEN_BYTES = 16 << 20
+TAKEN_BYTES = 5 << 20
 # The first of the bits of a phrase's hash number its part of the map.
 PART_BITS = 8
 
@@ -88,7 +88,7 @@ class Words:
         inside = ~(IS_SPACE | IS_END)[self.raw]
         edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
         self.starts, self.ends = edges[::2], edges[1::2]
-        self.piece = np.cumsum(IS_END[self.raw])[self.starts] if len(edges) else edges
+        self.piece = np.searchsorted(np.flatnonzero(IS_END[self.raw]), self.starts)
         seed = zlib.crc32(lang.encode("utf-8", "surrogatepass"))
         self.hashes = mix64(_word_hashes(self.raw, self.starts, self.ends) ^ np.uint64(seed * 0x9E3779B1))
 
