@@ -7,7 +7,8 @@ it joins the proposed ones, and a further pass counts what newly borders on them
 frequent phrase is left outside. Every frequent phrase is then counted, whatever the sample was.
 
 The proposed phrases travel as a bit map of bounded size; a false positive only has further
-phrases counted.
+phrases counted. A pass first adds up its phrases in buckets by their hash: one whose bucket stays
+below the threshold is not frequent, so only the rest is counted by its words.
 """
 
 from __future__ import annotations
@@ -126,9 +127,9 @@ class PhraseMap:
 
     @property
     def value(self) -> np.ndarray:
-        """The map, unpacked once for each process; a process keeps the last two."""
+        """The map, unpacked once for each process; a process keeps the last three."""
         if self.name not in _OPENED:
-            while len(_OPENED) > 1:
+            while len(_OPENED) > 2:
                 _OPENED.pop(next(iter(_OPENED)))
             _OPENED[self.name] = np.frombuffer(zlib.decompress(self.sent.value), np.uint8)
         return _OPENED[self.name]
@@ -181,29 +182,86 @@ def all_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, "hash LONG, n LONG")
 
 
-def border_counts(docs: DataFrame, proposed, counted=None) -> DataFrame:
-    """Numbers, by part of a batch, of the proposed phrases and their negative border.
+def _bordering(words: Words, proposed, counted) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size, hashes and places of the phrases that a pass counts.
 
-    These are all phrases whose parts without the first and without the last word are in the
-    map ``proposed``; a single word has no such parts. Those that were so by the map
-    ``counted`` too are left out.
+    These are the proposed phrases and their negative border: all whose parts without the first
+    and without the last word are in the map ``proposed``; a single word has no such parts.
+    Those that were so by the map ``counted`` too are left out.
+    """
+    hashes = words.phrases(1, None)
+    if counted is None:
+        yield 1, hashes, np.arange(len(hashes))
+    for size in range(2, LONGEST + 1):
+        within = in_map(proposed.value, hashes)
+        chosen = within[:-1] & within[1:] & words.whole(size)
+        if counted is not None:
+            earlier = in_map(counted.value, hashes)
+            chosen &= ~(earlier[:-1] & earlier[1:])
+        hashes = words.phrases(size, hashes)
+        yield size, hashes, np.flatnonzero(chosen)
+
+
+def bucket_counts(docs: DataFrame, proposed, counted=None) -> DataFrame:
+    """Numbers of the phrases of a pass by bucket, packed by part of the map.
+
+    A bucket is a bit of the map; five bytes an entry. Numbers beyond 255 are as 255, which is
+    enough for any threshold, since buckets then need no more.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, texts in _taken(batch):
                 words = Words(texts, lang)
-                hashes, ready = words.phrases(1, None), None
-                if counted is None:
-                    yield _rows(words, lang, 1, hashes, np.arange(len(hashes)))
-                for size in range(2, LONGEST + 1):
-                    within = in_map(proposed.value, hashes)
-                    chosen = within[:-1] & within[1:] & words.whole(size)
-                    if counted is not None:
-                        earlier = in_map(counted.value, hashes)
-                        chosen &= ~(earlier[:-1] & earlier[1:])
-                    hashes = words.phrases(size, hashes)
-                    at = np.flatnonzero(chosen)
+                found = [h[at] >> np.uint64(64 - MAP_BITS) for _, h, at in _bordering(words, proposed, counted)]
+                own, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+                part = (own >> np.uint64(MAP_BITS - PART_BITS)).astype(np.int32)
+                heads = np.flatnonzero(np.diff(part, prepend=-1))
+                own, times = own.astype(np.uint32), np.minimum(times, 255).astype(np.uint8)
+                edges = np.append(heads, len(own))
+                packed = [(own[a:b].tobytes(), times[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+                columns = [pa.array(part[heads])] + [pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1)]
+                yield pa.record_batch(columns, ["part", "buckets", "times"])
+
+    return docs.mapInArrow(count, "part INT, buckets BINARY, times BINARY")
+
+
+def heavy_map(packed: DataFrame, least: int) -> np.ndarray:
+    """The map of buckets with at least ``least`` occurrences: 16 MB at any size."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 1 << (MAP_BITS - PART_BITS)
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, buckets, times in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                own = totals.setdefault(part, np.zeros(size, np.int64))
+                # A bucket is in a packed list once.
+                own[np.frombuffer(buckets, np.uint32) & np.uint32(size - 1)] += np.frombuffer(times, np.uint8)
+        for part, own in totals.items():
+            bits = np.packbits(own >= min(least, 255), bitorder="little").tobytes()
+            columns = [pa.array([part], pa.int32()), pa.array([zlib.compress(bits, 1)], pa.binary())]
+            yield pa.record_batch(columns, ["part", "bits"])
+
+    return _gathered(packed.repartition("part").mapInArrow(add, MAP_SCHEMA))
+
+
+def _gathered(parts: DataFrame, bits: np.ndarray | None = None) -> np.ndarray:
+    whole = np.zeros(1 << (MAP_BITS - 3), np.uint8) if bits is None else bits.copy()
+    for row in parts.collect():
+        part = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+        whole[row["part"] * len(part) : (row["part"] + 1) * len(part)] |= part
+    return whole
+
+
+def border_counts(docs: DataFrame, proposed, heavy, counted=None) -> DataFrame:
+    """Numbers, by part of a batch, of the phrases of a pass whose bucket is in ``heavy``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, texts in _taken(batch):
+                words = Words(texts, lang)
+                for size, hashes, at in _bordering(words, proposed, counted):
+                    at = at[in_map(heavy.value, hashes[at])]
                     if len(at):
                         yield _rows(words, lang, size, hashes, at)
 
@@ -232,11 +290,7 @@ def _proposed_map(hashes: DataFrame, bits: np.ndarray | None = None) -> np.ndarr
     # Signed numbers keep their first bits under a shift that fills with zeros.
     number = F.shiftrightunsigned("hash", 64 - PART_BITS)
     spread = hashes.select("hash").repartition(number)
-    whole = np.zeros(1 << (MAP_BITS - 3), np.uint8) if bits is None else bits.copy()
-    for row in spread.mapInArrow(add, MAP_SCHEMA).collect():
-        part = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
-        whole[row["part"] * len(part) : (row["part"] + 1) * len(part)] |= part
-    return whole
+    return _gathered(spread.mapInArrow(add, MAP_SCHEMA), bits)
 
 
 def _summed(rows: DataFrame, least: int) -> DataFrame:
@@ -265,11 +319,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, one_in: int = SAMPLED_
     bits, counted, found = _proposed_map(seen), None, None
     while True:
         proposed = PhraseMap(spark, bits)
-        rows = _summed(border_counts(units, proposed, counted), least)
+        heavy = PhraseMap(spark, heavy_map(bucket_counts(units, proposed, counted), least))
+        rows = _summed(border_counts(units, proposed, heavy, counted), least)
         rows = stage(rows, "phrases")
         found = rows if found is None else found.unionByName(rows)
         outside = rows.where(F.col("size") < LONGEST).mapInArrow(_outside(proposed), "hash LONG")
         grown = _proposed_map(outside, bits)
+        heavy.drop()
         if counted is not None:
             counted.drop()
         if np.array_equal(grown, bits):
