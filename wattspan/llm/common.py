@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the shuffle files of plans that nothing refers to any more removed."""
+    spark._jvm.System.gc()
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
@@ -34,7 +39,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, label)
     df.write.parquet(path)
-    spark._jvm.System.gc()
+    let_go(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

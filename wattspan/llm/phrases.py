@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import BASE, BYTE_CODES, LOWER, UPPER, mix64, stage, table
+from wattspan.llm.common import BASE, BYTE_CODES, LOWER, UPPER, let_go, mix64, stage, table
 
 LONGEST = 4
 LEAST = 30
@@ -317,9 +317,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, one_in: int = SAMPLED_
     enough = max(2, int(least / one_in * LOWERED))
     seen = all_counts(sample).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= enough)
     bits, counted, found = _proposed_map(seen), None, None
+    del seen
+    let_go(spark)
     while True:
         proposed = PhraseMap(spark, bits)
         heavy = PhraseMap(spark, heavy_map(bucket_counts(units, proposed, counted), least))
+        let_go(spark)
         rows = _summed(border_counts(units, proposed, heavy, counted), least)
         rows = stage(rows, "phrases")
         found = rows if found is None else found.unionByName(rows)
