@@ -43,6 +43,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or with underscores added until no column has it, whatever its case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """The fifth of documents that never serve for learning, by the id's CRC."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

@@ -17,7 +17,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import ASCII_LOWER, WORDS, digest, hashed_words, mix64, shingle_hashes, stage, table
+from wattspan.llm.common import (
+    ASCII_LOWER,
+    WORDS,
+    digest,
+    free_name,
+    hashed_words,
+    mix64,
+    shingle_hashes,
+    stage,
+    table,
+)
 
 SHINGLE = 5
 LENGTH = 50
@@ -33,8 +43,10 @@ SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 CELLS_AT_ONCE = 4_000_000
 # A task of the verification keeps the n-grams of the texts met most recently, up to so many.
 RECENT_SHINGLES = 2_000_000
-# A block of the verification has about this many pairs.
-PAIRS_AT_ONCE = 2_000
+# A block of the verification has about this many pairs, whose texts have about so many words.
+PAIRS_AT_ONCE, WORDS_AT_ONCE = 2_000, 8_000_000
+# Rows are numbered by partition of the input; so many bits are the number within it.
+ROW_BITS = 33
 
 
 def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -75,33 +87,53 @@ def passage_keys(shingles: np.ndarray, width: int, pairs: int = PAIRS) -> tuple[
     return np.concatenate(keys), np.concatenate(places)
 
 
+def places_by_key(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, where the places of each start, and its distinct places."""
+    order = np.lexsort((places, keys))
+    keys, places = keys[order], places[order]
+    new_key = np.diff(keys, prepend=keys[:1] - 1) != 0
+    kept = new_key | (np.diff(places, prepend=-1) != 0)
+    keys, places = keys[kept], places[kept]
+    heads = np.flatnonzero(new_key[kept])
+    return keys[heads], heads, places
+
+
 def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
     width = length - shingle + 1
+    listed, lists = pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32()))
 
     def find(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
-            counts, keys, places, grams = [], [], [], []
+            counts, grams, keys, heads, places = [], [], [], [], []
+            ends, n_places = [0], 0
             for text in batch.column(2):
                 words = hashed_words(text.as_py())
                 counts.append(len(words))
                 if len(words) < length:
-                    keys.append([])
-                    places.append([])
                     grams.append(b"")
+                    ends.append(ends[-1])
                 else:
                     shingles = shingle_hashes(words, shingle)
-                    key, place = passage_keys(shingles, width)
+                    grams.append((shingles % np.uint64(SKETCH_BITS)).astype(np.uint16).tobytes())
+                    key, head, place = places_by_key(*passage_keys(shingles, width))
                     keys.append(key)
+                    heads.append(head + n_places)
                     places.append(place)
-                    grams.append((shingles % np.uint64(SKETCH_BITS)).astype(np.uint16).tobytes())
+                    ends.append(ends[-1] + len(key))
+                    n_places += len(place)
+            key, head, place = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (keys, heads, places))
+            ends = pa.array(ends, pa.int32())
+            inner = pa.ListArray.from_arrays(
+                pa.array(np.append(head, n_places).astype(np.int32)), pa.array(place.astype(np.int32))
+            )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())),
-                 pa.array(grams, pa.binary())],
+                 pa.ListArray.from_arrays(ends, pa.array(key)).cast(listed),
+                 pa.ListArray.from_arrays(ends, inner).cast(lists), pa.array(grams, pa.binary())],
                 names=["doc_id", "digest", "n_words", "keys", "places", "grams"],
             )
 
-    schema = "doc_id long, digest string, n_words long, keys array<long>, places array<int>, grams binary"
+    schema = "doc_id long, digest string, n_words long, keys array<long>, places array<array<int>>, grams binary"
     return docs.mapInArrow(find, schema)
 
 
@@ -119,31 +151,48 @@ def sketch(grams: np.ndarray, places: list[int], width: int) -> tuple[np.ndarray
     return np.packbits(bits).view(np.int64), len(around) - int(np.count_nonzero(bits))
 
 
+def numbered(hits: DataFrame) -> DataFrame:
+    """``hits`` with ``nth``, the number of its row under its key, and ``n``, all rows of the key.
+
+    Rows are numbered within their partition of the input, and the partitions' counts are
+    summed, so that no task holds all rows of a hot key.
+    """
+    hits = hits.withColumn("part", F.shiftrightunsigned("row", ROW_BITS))
+    counts = hits.groupBy("key", "part").agg(F.count("*").alias("here"))
+    of_key = Window.partitionBy("key")
+    before = of_key.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        "key", "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("base"), F.sum("here").over(of_key).alias("n")
+    )
+    within = Window.partitionBy("key", "part").orderBy("row")
+    ranked = hits.withColumn("at", F.row_number().over(within))
+    return ranked.join(counts, ["key", "part"]).select("key", "row", "places", (F.col("base") + F.col("at")).alias("nth"), "n")
+
+
 def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
-    """``hits`` with the sketch of their places."""
-    own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "places")).alias("own"))
-    joined = own.join(passages.select("row", "grams"), "row")
+    """``hits`` with the sketch of their places and the number of words of their text."""
+    own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "places", "nth", "n")).alias("own"))
+    joined = own.join(passages.select("row", "grams", "n_words"), "row")
 
     def add(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
-            rows, keys, places, sketches, lost = [], [], [], [], []
-            for row, own, raw in zip(*(batch.column(c).to_pylist() for c in ("row", "own", "grams"))):
+            found, sketches, lost = [], [], []
+            for row, own, raw, n_words in zip(*(batch.column(c).to_pylist() for c in ("row", "own", "grams", "n_words"))):
                 grams = np.frombuffer(raw, np.uint16)
                 for hit in own:
                     bits, gone = sketch(grams, hit["places"], width)
-                    rows.append(row)
-                    keys.append(hit["key"])
-                    places.append(hit["places"])
+                    found.append((hit["key"], row, hit["places"], hit["nth"], hit["n"], n_words))
                     sketches.append(bits)
                     lost.append(gone)
             numbers = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
-            columns = [pa.array(keys, pa.int64()), pa.array(rows, pa.int64()), pa.array(places, pa.list_(pa.int32()))]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64()]
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*found) if found else [[]] * len(kinds), kinds)]
             columns += [pa.array(numbers[:, k]) for k in range(len(SKETCH))]
-            names = ["key", "row", "places", *SKETCH, "lost"]
+            names = ["key", "row", "places", "nth", "n", "n_words", *SKETCH, "lost"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lost, pa.int32())], names=names)
 
     numbers = ", ".join(f"{name} long" for name in SKETCH)
-    return joined.mapInArrow(add, f"key long, row long, places array<int>, {numbers}, lost int")
+    return joined.mapInArrow(add, f"key long, row long, places array<int>, nth long, n long, n_words long, {numbers}, lost int")
 
 
 def may_match(width: int, threshold: float) -> Column:
@@ -387,10 +436,12 @@ def _verify(pairs: DataFrame, with_text, shingle: int, length: int, threshold: f
     """Spans of words of both documents of each pair; ``kept`` in the earlier one.
 
     Pairs meet in blocks of rows and of others, so that a text travels once for each block
-    and not for each pair. ``with_text`` adds the text of a ``row``.
+    and not for each pair. Blocks are so many that one has a bounded number of pairs, and of
+    ``words`` in them, in the mean. ``with_text`` adds the text of a ``row``.
     """
     width = length - shingle + 1
-    side = F.lit(math.ceil(math.sqrt(max(1, pairs.count()) / PAIRS_AT_ONCE)))
+    asked = pairs.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
+    side = F.lit(max(1, math.ceil(math.sqrt(max(asked[0] / PAIRS_AT_ONCE, asked[1] / WORDS_AT_ONCE)))))
     block = [F.pmod(F.xxhash64(c), side).alias(f"{c}_block") for c in ("row", "other")]
     cells = ["row_block", "other_block"]
     pairs = pairs.select("row", "other", *block)
@@ -450,15 +501,12 @@ def repeated_passages(
     copies = stage(long.join(firsts, "digest").where("row <> first").drop("digest"), "passage-copies")
 
     distinct = passages.select("row", "keys", "places").join(copies.select("row"), "row", "left_anti")
-    keyed = distinct.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "place")
+    keyed = distinct.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "places")
     shared = keyed.groupBy("key").agg(F.min("row").alias("least"), F.max("row").alias("last"))
-    hits = keyed.join(shared.where("least < last").select("key"), "key")
-    hits = hits.groupBy("key", "row").agg(F.collect_set("place").alias("places"))
+    hits = keyed.join(shared.where("least < last").select("key"), "key").select("key", "row", "places")
     width = length - shingle + 1
-    hits = _with_sketch(hits, passages, width)
-    by_key = Window.partitionBy("key")
-    hits = hits.withColumn("nth", F.row_number().over(by_key.orderBy("row")))
-    members = stage(hits.withColumn("n", F.count("*").over(by_key)), "passage-members")
+    hits = numbered(stage(hits, "passage-hits"))
+    members = stage(_with_sketch(hits, passages, width), "passage-members")
 
     names = passages.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest")
     texts = chosen.select(
@@ -474,11 +522,14 @@ def repeated_passages(
     while True:
         # Rows whose passage later rows repeat need earlier ones only.
         others = members.where((F.col("nth") > low) & (F.col("nth") <= high)).select(
-            "key", F.col("row").alias("other"), *(F.col(c).alias(f"other_{c}") for c in (*SKETCH, "lost"))
+            "key", F.col("row").alias("other"), *(F.col(c).alias(f"other_{c}") for c in (*SKETCH, "lost", "n_words"))
         )
         met = waiting.join(others, "key").where("row <> other AND (other < row OR NOT shared)")
         met = met.where(may_match(width, threshold))
-        pairs = met.select(F.greatest("row", "other").alias("row"), F.least("row", "other").alias("other")).distinct()
+        pairs = met.select(
+            F.greatest("row", "other").alias("row"), F.least("row", "other").alias("other"),
+            (F.col("n_words") + F.col("other_n_words")).alias("words"),
+        ).distinct()
         if done is not None:
             pairs = pairs.join(done, ["row", "other"], "left_anti")
         pairs = stage(pairs, "passage-pairs")
@@ -529,17 +580,28 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*result, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, passages: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated passages cut from their ``text``; all columns stay.
 
-    ``passages`` comes from :func:`repeated_passages` on the same table. A document of
-    which nothing but repeats was left is dropped; null and empty texts stay. Rows of the
-    same id and text are treated alike, as the one of them with the fewest repeated words.
+    ``passages`` comes from :func:`repeated_passages` on the same table, with the same
+    ``length``. A document of which nothing but repeats was left is dropped; null and empty
+    texts stay. Of rows with the same id and a same text that is long enough to have passages
+    one stays, as the one of them with the fewest repeated words, whatever the other columns
+    hold; shorter ones all stay.
     """
-    spans = passages.groupBy(
-        F.coalesce("doc_id", F.lit(0)).alias("span_id"), F.col("doc_id").isNull().alias("span_none"),
-        F.col("digest").alias("span_digest"),
-    ).agg(F.min_by("repeats", words_in(F.col("repeats"))).alias("repeats")).where("size(repeats) > 0")
+    def free(name: str) -> str:
+        return free_name(docs.columns, name)
+
+    own_id, none, key, repeats, copies, cut_text = map(free, ("span_id", "span_none", "span_digest", "repeats", "copies", "cut_text"))
+    names = [own_id, none, key]
+    keyed = passages.withColumns({
+        own_id: F.coalesce("doc_id", F.lit(0)), none: F.col("doc_id").isNull(), key: F.col("digest"),
+    })
+    spans = keyed.groupBy(*names).agg(
+        F.min_by("repeats", words_in(F.col("repeats"))).alias(repeats),
+        F.count(F.when(F.col("n_words") >= length, 1)).alias(copies),
+    )
+    spans = spans.where((F.size(repeats) > 0) | (F.col(copies) > 1))
 
     @F.pandas_udf("string")
     def cut(texts, spans):
@@ -549,18 +611,18 @@ def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
             without_words(t, [(s["start"], s["end"]) for s in own]) for t, own in zip(texts, spans)
         ])
 
-    joined = docs.join(
-        spans,
-        (F.coalesce(F.col("doc_id").cast("long"), F.lit(0)) == F.col("span_id"))
-        & (F.col("doc_id").isNull() == F.col("span_none")) & (digest(F.col("text")) == F.col("span_digest")),
-        "left",
-    )
-    clean = joined.where("repeats IS NULL").select(*[docs[c] for c in docs.columns])
-    changed = joined.where("repeats IS NOT NULL").withColumn("cut_text", cut("text", "repeats"))
-    changed = changed.where(F.trim("cut_text") != "").select(
-        *[F.col("cut_text").alias("text") if c == "text" else docs[c] for c in docs.columns]
+    named = docs.withColumns({
+        own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), none: F.col("doc_id").isNull(),
+        key: digest(F.col("text")),
+    })
+    joined = named.join(spans, names, "left")
+    clean = joined.where(F.col(repeats).isNull()).select(docs.columns)
+    once = joined.where(F.col(copies) > 1).dropDuplicates(names)
+    changed = joined.where(F.col(copies) <= 1).unionByName(once).withColumn(
+        cut_text, F.when(F.size(repeats) > 0, cut("text", repeats)).otherwise(F.col("text"))
     )
-    return clean.unionByName(changed)
+    changed = changed.where((F.trim(cut_text) != "") | (F.size(repeats) == 0))
+    return clean.unionByName(changed.withColumn("text", F.col(cut_text)).select(docs.columns))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

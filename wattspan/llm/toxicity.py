@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import held_out, stage, table, words_of
+from wattspan.llm.common import free_name, held_out, stage, table, words_of
 
 BUCKETS = 1 << 17
 PREFIXES = (4, 5, 6)
@@ -359,14 +359,6 @@ def _limit(fitted: ToxicityModel) -> Column:
     return limit
 
 
-def free_name(columns: list[str], name: str) -> str:
-    """``name``, or with underscores added until no column has it, whatever its case."""
-    taken = {column.lower() for column in columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def _judged(rows: DataFrame, logit: str, fitted: ToxicityModel, names: tuple[str, str]) -> DataFrame:
     """Score and verdict from the logit of every row."""
     value = 1 / (1 + F.exp(-(fitted.model.scale * F.col(logit) + fitted.model.shift)))
