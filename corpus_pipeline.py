@@ -11,12 +11,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import keep_rows, stage, table
+from wattspan.llm.common import free_name, keep_rows, stage, table
 from wattspan.llm.decontamination import scan
 from wattspan.llm.jaccard_join import jaccard_join
 from wattspan.llm.packing import pack, token_pieces
 from wattspan.llm.substring_dedup import remove_repeats, repeated_passages
-from wattspan.llm.toxicity import free_name, scored_once
+from wattspan.llm.toxicity import scored_once
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
