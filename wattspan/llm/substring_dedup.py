@@ -166,22 +166,27 @@ def numbered(hits: DataFrame) -> DataFrame:
     )
     within = Window.partitionBy("key", "part").orderBy("row")
     ranked = hits.withColumn("at", F.row_number().over(within))
-    return ranked.join(counts, ["key", "part"]).select("key", "row", "places", (F.col("base") + F.col("at")).alias("nth"), "n")
+    return ranked.join(counts, ["key", "part"]).select("key", "row", (F.col("base") + F.col("at")).alias("nth"), "n")
 
 
 def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
-    """``hits`` with the sketch of their places and the number of words of their text."""
-    own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "places", "nth", "n")).alias("own"))
-    joined = own.join(passages.select("row", "grams", "n_words"), "row")
+    """``hits`` with the key's places, their sketch and the number of words of the text."""
+    own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "nth", "n")).alias("own"))
+    joined = own.join(passages.select("row", "keys", "places", "grams", "n_words"), "row")
 
     def add(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
             found, sketches, lost = [], [], []
-            for row, own, raw, n_words in zip(*(batch.column(c).to_pylist() for c in ("row", "own", "grams", "n_words"))):
-                grams = np.frombuffer(raw, np.uint16)
-                for hit in own:
-                    bits, gone = sketch(grams, hit["places"], width)
-                    found.append((hit["key"], row, hit["places"], hit["nth"], hit["n"], n_words))
+            columns = (batch.column(c) for c in ("row", "own", "keys", "places", "grams", "n_words"))
+            for row, own, keys, lists, raw, n_words in zip(*columns):
+                grams = np.frombuffer(raw.as_py(), np.uint16)
+                row, n_words, keys = row.as_py(), n_words.as_py(), keys.values.to_numpy()
+                own = own.as_py()
+                # A row's keys are in ascending order.
+                at = np.searchsorted(keys, [hit["key"] for hit in own])
+                for hit, where in zip(own, lists.values.take(pa.array(at)).to_pylist()):
+                    bits, gone = sketch(grams, where, width)
+                    found.append((hit["key"], row, where, hit["nth"], hit["n"], n_words))
                     sketches.append(bits)
                     lost.append(gone)
             numbers = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
@@ -500,10 +505,11 @@ def repeated_passages(
     firsts = stage(firsts.where("n > 1").drop("n"), "passage-copies")
     copies = stage(long.join(firsts, "digest").where("row <> first").drop("digest"), "passage-copies")
 
-    distinct = passages.select("row", "keys", "places").join(copies.select("row"), "row", "left_anti")
-    keyed = distinct.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "places")
-    shared = keyed.groupBy("key").agg(F.min("row").alias("least"), F.max("row").alias("last"))
-    hits = keyed.join(shared.where("least < last").select("key"), "key").select("key", "row", "places")
+    distinct = passages.select("row", "keys").join(copies.select("row"), "row", "left_anti")
+    # A row has a key once.
+    keyed = distinct.select("row", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    hits = keyed.join(shared, "key").select("key", "row")
     width = length - shingle + 1
     hits = numbered(stage(hits, "passage-hits"))
     members = stage(_with_sketch(hits, passages, width), "passage-members")
