@@ -520,8 +520,13 @@ def repeated_passages(
     )
 
     def with_text(df: DataFrame) -> DataFrame:
-        """``df`` with the text of the document in ``row``; repeated rows multiply."""
-        return df.join(names, "row").join(texts, ["id", "none", "digest"]).drop("id", "none", "digest")
+        """``df`` with the text of the document in ``row``; repeated rows multiply.
+
+        The rows asked for are stored, so that Spark knows how many they are and need not
+        shuffle the texts of all documents for few.
+        """
+        asked = stage(df.join(names, "row"), "passage-asked")
+        return asked.join(texts, ["id", "none", "digest"]).drop("id", "none", "digest")
 
     spans, done, low, high = None, None, 0, 1
     waiting = members.withColumn("shared", F.lit(False))
