@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def let_go(spark: SparkSession) -> None:
-    """Have the shuffle files of plans that nothing refers to any more removed."""
+    """Have the shuffle files of plans that nothing refers to any more removed.
+
+    Those of the last plan go only with a second collection, a moment after the first.
+    """
+    spark._jvm.System.gc()
+    time.sleep(0.3)
     spark._jvm.System.gc()
 
 
