@@ -168,3 +168,16 @@ def test_phrases_of_no_rows(spark):
 def test_phrase_query_equals_brute_force(spark, sf_dir):
     docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert ranked(op12_phrases(spark, sf_dir)) == brute_phrases(docs, 30, 2000)
+
+
+def test_ranks_across_tasks_equal_a_sort(spark):
+    from wattspan.llm import phrases
+
+    rows = [("en" if k % 9 else "fr", f"p{k:03}", k % 7, k % 5) for k in range(400)]
+    table = spark.createDataFrame(rows, "lang string, phrase string, score long, a long").repartition(5)
+    got = {(r["lang"], r["rank"]): r["phrase"] for r in phrases.ranked(table, 120).collect()}
+    expected = {}
+    for lang in ("en", "fr"):
+        own = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[2], -r[3], r[1]))
+        expected.update({(lang, n + 1): r[1] for n, r in enumerate(own[:120])})
+    assert got == expected

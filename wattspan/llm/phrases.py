@@ -404,7 +404,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, one_in: in
     weakest = scored.groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "left_n", "right_n", "n", "words")).alias("cut")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     flat = weakest.select(
         "lang",
         "phrase",
@@ -414,7 +413,24 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, one_in: in
         F.col("cut.words").alias("n"),
         F.col("cut.score").alias("score"),
     )
-    return flat.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return ranked(flat, top)
+
+
+def ranked(rows: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` of ``rows`` in each language, with their ``rank`` from 1.
+
+    Rows are sorted over all tasks, and numbered within a task and language from what the
+    tasks before hold of the language, so that no task ranks all rows of a common language.
+    """
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    spread = rows.repartitionByRange("lang", *order).withColumn("part", F.spark_partition_id())
+    spread = stage(spread, "phrases-ranked")
+    before = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = spread.groupBy("lang", "part").agg(F.count("*").alias("here"))
+    bases = counts.select("lang", "part", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("base"))
+    at = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    found = spread.withColumn("at", at).join(bases.where(F.col("base") < top), ["lang", "part"])
+    return found.withColumn("rank", F.col("base") + F.col("at")).where(F.col("rank") <= top).drop("part", "at", "base")
 
 
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
