@@ -231,18 +231,29 @@ def heavy_map(packed: DataFrame, least: int) -> np.ndarray:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << (MAP_BITS - PART_BITS)
-        totals: dict[int, np.ndarray] = {}
+        current, own = None, np.zeros(size, np.int64)
+
+        def ended() -> pa.RecordBatch:
+            bits = np.packbits(own >= min(least, 255), bitorder="little").tobytes()
+            columns = [pa.array([current], pa.int32()), pa.array([zlib.compress(bits, 1)], pa.binary())]
+            return pa.record_batch(columns, ["part", "bits"])
+
+        # Rows are sorted by part, so that one part at a time is held.
         for batch in batches:
-            for part, buckets, times in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                own = totals.setdefault(part, np.zeros(size, np.int64))
+            for part, buckets, times in zip(*(batch.column(k) for k in range(3))):
+                if part.as_py() != current:
+                    if current is not None:
+                        yield ended()
+                    current = part.as_py()
+                    own[:] = 0
                 # A bucket is in a packed list once.
-                own[np.frombuffer(buckets, np.uint32) & np.uint32(size - 1)] += np.frombuffer(times, np.uint8)
-        for part, own in totals.items():
-            bits = np.packbits(own >= min(least, 255), bitorder="little").tobytes()
-            columns = [pa.array([part], pa.int32()), pa.array([zlib.compress(bits, 1)], pa.binary())]
-            yield pa.record_batch(columns, ["part", "bits"])
+                at = np.frombuffer(buckets.as_py(), np.uint32) & np.uint32(size - 1)
+                own[at] += np.frombuffer(times.as_py(), np.uint8)
+        if current is not None:
+            yield ended()
 
-    return _gathered(packed.repartition("part").mapInArrow(add, MAP_SCHEMA))
+    spread = packed.repartition("part").sortWithinPartitions("part")
+    return _gathered(spread.mapInArrow(add, MAP_SCHEMA))
 
 
 def _gathered(parts: DataFrame, bits: np.ndarray | None = None) -> np.ndarray:
