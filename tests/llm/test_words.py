@@ -1,12 +1,16 @@
 """Spelling variants and phrases against brute force."""
 
+import gc
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
+from wattspan.llm import phrases
+from wattspan.llm.common import let_go
 from wattspan.llm.phrases import collocations, frequent_phrases, op12_phrases
 from wattspan.llm.spelling import op11_spelling, spelling_variants
 
@@ -181,3 +185,31 @@ def test_ranks_across_tasks_equal_a_sort(spark):
         own = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[2], -r[3], r[1]))
         expected.update({(lang, n + 1): r[1] for n, r in enumerate(own[:120])})
     assert got == expected
+
+
+def test_phrases_of_a_task_are_counted_in_one_row_for_each_part(spark):
+    texts = [(k, "a b c d e f g h " * 20, "en") for k in range(60)]
+    units = frame(spark, texts).selectExpr("lang", "cast(text AS binary) AS raw")
+    every = phrases.PhraseMap(spark, np.full(1 << (phrases.MAP_BITS - 3), 255, np.uint8))
+    packed = phrases.border_counts(units, every, every).collect()
+    assert len(packed) == 3 * len({r["part"] for r in packed})
+    assert sum(sum(r["n"]) for r in packed) == 60 * (160 + 159 + 158 + 157)
+
+
+def test_shuffles_of_collected_frames_are_let_go(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        names = blocks.getAllFiles().mkString("\n").split("\n")
+        return {name for name in names if "shuffle_" in name and name.endswith(".data")}
+
+    gc.disable()
+    try:
+        before = files()
+        assert spark.range(100).repartition(3).groupBy("id").count().collect()
+        assert files() - before
+        for _ in range(20):
+            let_go(spark)
+        assert not files() - before
+    finally:
+        gc.enable()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import time
 
@@ -27,8 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def let_go(spark: SparkSession) -> None:
     """Have the shuffle files of plans that nothing refers to any more removed.
 
-    Those of the last plan go only with a second collection, a moment after the first.
+    Frames of Python's that were collected refer to their plans in cycles, which only Python's
+    own collection ends. Those of the last plan go only with a second collection of the JVM's,
+    a moment after the first.
     """
+    gc.collect()
     spark._jvm.System.gc()
     time.sleep(0.3)
     spark._jvm.System.gc()

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,12 @@ TAKEN_BYTES = 5 << 20
 # The first of the bits of a phrase's hash number its part of the map.
 PART_BITS = 8
 
+# As many of them number the part in which phrases are added up by their words.
+COUNT_PART_BITS = 12
+
 COUNT_SCHEMA = "lang STRING, size INT, phrase BINARY, n LONG, hash LONG"
+LISTED = ["size", "phrase", "n", "hash"]
+PACKED_SCHEMA = "part INT, lang STRING, size ARRAY<INT>, phrase ARRAY<BINARY>, n ARRAY<LONG>, hash ARRAY<LONG>"
 MAP_SCHEMA = "part INT, bits BINARY"
 
 # What separates pieces, and words within them.
@@ -155,14 +161,24 @@ def _taken(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
             yield lang, texts[low:high]
 
 
-def _rows(words: Words, lang: str, size: int, hashes: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    """Number of each phrase among those at ``at``."""
+def _rows(words: Words, size: int, hashes: np.ndarray, at: np.ndarray) -> tuple:
+    """The phrases among those at ``at``: their hashes, sizes, numbers and words."""
     own, first, times = np.unique(hashes[at], return_index=True, return_counts=True)
-    count = len(own)
-    columns = [pa.array([lang] * count, pa.string()), pa.array(np.full(count, size, np.int32))]
-    columns += [pa.array(words.text(at[first], size), pa.binary()), pa.array(times.astype(np.int64))]
-    columns += [pa.array(own.view(np.int64))]
-    return pa.record_batch(columns, ["lang", "size", "phrase", "n", "hash"])
+    return own, np.full(len(own), size, np.int32), times.astype(np.int64), pa.array(words.text(at[first], size), pa.binary())
+
+
+def _packed(lang: str, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of a part of a batch, one list for each part that their hashes fall into."""
+    hashes, sizes, times = (np.concatenate(c) for c in list(zip(*rows))[:3])
+    order = np.argsort(hashes, kind="stable")
+    part = (hashes[order] >> np.uint64(64 - COUNT_PART_BITS)).astype(np.int32)
+    heads = np.flatnonzero(np.diff(part, prepend=-1))
+    edges = pa.array(np.append(heads, len(part)).astype(np.int32))
+    phrases = pa.concat_arrays([r[3] for r in rows]).take(pa.array(order))
+    lists = [pa.array(sizes[order]), phrases, pa.array(times[order]), pa.array(hashes[order].view(np.int64))]
+    columns = [pa.array(part[heads]), pa.array([lang] * len(heads), pa.string())]
+    columns += [pa.ListArray.from_arrays(edges, values) for values in lists]
+    return pa.RecordBatch.from_arrays(columns, ["part", "lang", *LISTED])
 
 
 def all_counts(docs: DataFrame) -> DataFrame:
@@ -265,18 +281,20 @@ def _gathered(parts: DataFrame, bits: np.ndarray | None = None) -> np.ndarray:
 
 
 def border_counts(docs: DataFrame, proposed, heavy, counted=None) -> DataFrame:
-    """Numbers, by part of a batch, of the phrases of a pass whose bucket is in ``heavy``."""
+    """Numbers, by part of a batch, of the phrases of a pass whose bucket is in ``heavy``; packed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, texts in _taken(batch):
-                words = Words(texts, lang)
+                words, found = Words(texts, lang), []
                 for size, hashes, at in _bordering(words, proposed, counted):
                     at = at[in_map(heavy.value, hashes[at])]
                     if len(at):
-                        yield _rows(words, lang, size, hashes, at)
+                        found.append(_rows(words, size, hashes, at))
+                if found:
+                    yield _packed(lang, found)
 
-    return docs.mapInArrow(count, COUNT_SCHEMA)
+    return docs.mapInArrow(count, PACKED_SCHEMA)
 
 
 def _proposed_map(hashes: DataFrame, bits: np.ndarray | None = None) -> np.ndarray:
@@ -304,10 +322,36 @@ def _proposed_map(hashes: DataFrame, bits: np.ndarray | None = None) -> np.ndarr
     return _gathered(spread.mapInArrow(add, MAP_SCHEMA), bits)
 
 
-def _summed(rows: DataFrame, least: int) -> DataFrame:
-    """Exact numbers over all parts, of phrases with at least ``least``."""
-    total = rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.first("hash").alias("hash"))
-    return total.where(F.col("n") >= least).withColumn("phrase", F.col("phrase").cast("string"))
+def _summed(packed: DataFrame, least: int) -> DataFrame:
+    """Exact numbers over all parts of batches, of phrases with at least ``least``."""
+
+    def flat(batch: pa.RecordBatch) -> pa.Table:
+        # All lists of a row are of one length.
+        of = pc.list_parent_indices(batch.column("hash"))
+        columns = [batch.column(name).take(of) for name in ("part", "lang")]
+        return pa.table([*columns, *(batch.column(name).flatten() for name in LISTED)], names=["part", "lang", *LISTED])
+
+    def total(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        sums = rows.group_by(["lang", "size", "phrase"], use_threads=False).aggregate([("n", "sum"), ("hash", "min")])
+        sums = sums.filter(pc.greater_equal(sums.column("n_sum"), least))
+        names = ["lang", "size", "phrase", "n_sum", "hash_min"]
+        yield from sums.select(names).rename_columns(["lang", *LISTED]).to_batches()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        # Rows are sorted by part, so that one part at a time is held besides a batch.
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = flat(batch) if held is None else pa.concat_tables([held, flat(batch)])
+            last = pc.equal(rows.column("part"), batch.column("part")[-1])
+            yield from total(rows.filter(pc.invert(last)))
+            held = rows.filter(last)
+        if held is not None:
+            yield from total(held)
+
+    spread = packed.repartition("part").sortWithinPartitions("part")
+    return spread.mapInArrow(add, COUNT_SCHEMA).withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, one_in: int = SAMPLED_ONE_IN) -> DataFrame:
