@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.session import work_path
+from wattspan.session import session_conf, work_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -20,6 +20,13 @@ WORDS = re.compile(WORD)
 ANY_WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
+# Whole texts reach Python in small batches where this is set: Spark and Python hold a batch
+# several times over, and the rows of a batch are counted without regard to their length.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -89,14 +96,21 @@ UP, DOWN = _powers(BASE, BYTES_AT_ONCE), _powers(pow(BASE, -1, 2**64), BYTES_AT_
 
 
 def hashed_words(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words of :func:`words_of`, made without the words.
+    """64-bit hashes of the words of :func:`words_of`, made without the words."""
+    return hashed_texts([text])[0]
+
+
+def hashed_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after the other, and how many words each has.
 
     Long texts are hashed in blocks of whole words, of about ``BYTES_AT_ONCE`` bytes.
     """
-    # Bytes have their ASCII letters alone lowered.
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    raws = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+    # Bytes have their ASCII letters alone lowered. A newline between texts ends a word.
+    raw = np.frombuffer(b"\n".join(raws).lower(), np.uint8)
     edges = np.flatnonzero(np.diff(WORD_BYTES[raw], prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
+    counts = np.diff(np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws])), prepend=0)
     found, low = [np.zeros(0, np.uint64)], 0
     while low < len(starts):
         base = starts[low]
@@ -111,7 +125,7 @@ def hashed_words(text: str | None) -> np.ndarray:
         first = starts[low:high] - base
         found.append((total[ends[low:high] - base] - total[first]) * down[first])
         low = high
-    return mix64(np.concatenate(found))
+    return mix64(np.concatenate(found)), counts
 
 
 def digest(text: Column) -> Column:

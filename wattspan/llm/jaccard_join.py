@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import WordHashes, digest, shingle_hashes, stage, table, words_of
+from wattspan.llm.common import SMALL_BATCHES, WordHashes, digest, shingle_hashes, stage, table, words_of
 from wattspan.llm.graph import components
+from wattspan.session import session_conf
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -213,7 +214,8 @@ def jaccard_join(
     """
     chosen = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
     signed = _sign(chosen, shingle, bands * rows)
-    signed = stage(signed.withColumn("row", F.monotonically_increasing_id()), "join-signatures")
+    with session_conf(docs.sparkSession, SMALL_BATCHES):
+        signed = stage(signed.withColumn("row", F.monotonically_increasing_id()), "join-signatures")
     worded = signed.where("key IS NOT NULL")
     # doc_id is nullable; its order has null last.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "digest")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattspan.llm.common import free_name, held_out, stage, table, words_of
+from wattspan.session import session_conf
 
 BUCKETS = 1 << 17
 PREFIXES = (4, 5, 6)
@@ -33,6 +34,8 @@ BINS_PER_LOGIT = 20
 # A language's threshold counts as much as the common one at this many examples of its rarer label.
 SMOOTHING = 20
 TEXTS_AT_ONCE = 64
+# Spark and Python hold a batch of texts several times over; some of these that are scored at once.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(16 * TEXTS_AT_ONCE)}
 PAD = 0
 
 
@@ -390,7 +393,8 @@ def scored_once(
     model, ids = trained(docs, labels)
     logit = free_name([*docs.columns, *names], "logit")
     logits = docs.withColumn(logit, _features(model)("text")).select(*kept, logit)
-    stored = stage(logits, "toxicity-logits")
+    with session_conf(docs.sparkSession, BATCHES):
+        stored = stage(logits, "toxicity-logits")
     tune = histogram(stored.select("doc_id", "lang", F.col(logit).alias("logit")), labels, ids)
     return _judged(stored, logit, calibrated(model, tune), names).drop(logit)
 
