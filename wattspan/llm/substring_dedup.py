@@ -14,20 +14,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattspan.llm.common import (
     ASCII_LOWER,
+    BYTES_AT_ONCE,
+    SMALL_BATCHES,
     WORDS,
     digest,
     free_name,
+    hashed_texts,
     hashed_words,
     mix64,
     shingle_hashes,
     stage,
     table,
 )
+from wattspan.session import session_conf
 
 SHINGLE = 5
 LENGTH = 50
@@ -43,93 +48,119 @@ SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 CELLS_AT_ONCE = 4_000_000
 # A task of the verification keeps the n-grams of the texts met most recently, up to so many.
 RECENT_SHINGLES = 2_000_000
+# Sketches are made of so many places at once.
+HITS_AT_ONCE = 4_000
 # A block of the verification has about this many pairs, whose texts have about so many words.
 PAIRS_AT_ONCE, WORDS_AT_ONCE = 2_000, 8_000_000
 # Rows are numbered by partition of the input; so many bits are the number within it.
 ROW_BITS = 33
+# Bits of the map of the texts that are asked for.
+MAP_BITS = 25
 
 
-def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """Nodes ``(l, c, r)`` of the Cartesian tree whose range has at least ``width`` values."""
-    found, rest = [], [(0, len(values))]
-    while rest:
-        low, high = rest.pop()
-        while high - low >= width:
-            at = low + int(values[low:high].argmin())
-            found.append((low, at, high))
-            if at - low >= width:
-                rest.append((low, at))
-            low = at + 1
-    return found
+def window_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the first least value of every window of ``width`` values."""
+    least, at, size = values, np.arange(len(values), dtype=np.int32), 1
+    while size < width:
+        step = min(size, width - size)
+        later = least[step:] < least[:-step]
+        at = np.where(later, at[step:], at[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        size += step
+    return at
 
 
-def window_minima(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of windows with the same least value start, and the places of the values."""
-    low, at, _ = np.array(compact_windows(values, width)).T
-    first = np.maximum(low, at - width + 1)
-    order = np.argsort(first)
-    return first[order], at[order]
+def window_keys(
+    shingles: np.ndarray, width: int, starts: np.ndarray, texts: np.ndarray, pairs: int = PAIRS
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each pair of hashes: keys of the windows at ``starts``, a place in each, and their ``texts``.
+
+    Of windows in a row that share both least values, the first stands for all.
+    """
+    for pair in range(pairs):
+        a, b = (
+            window_minima(mix64(shingles ^ np.uint64(0x9E3779B97F4A7C15 * (2 * pair + half + 1) % 2**64)), width)[starts]
+            for half in range(2)
+        )
+        fresh = np.ones(len(starts), bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        a, b = a[fresh], b[fresh]
+        key = mix64(shingles[a] * np.uint64(0xC2B2AE3D27D4EB4F) + shingles[b] + np.uint64(pair))
+        yield key.astype(np.int64), a, texts[fresh]
 
 
 def passage_keys(shingles: np.ndarray, width: int, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the groups of ``width`` shingles and the place of a shingle in each."""
-    keys, places = [], []
-    for pair in range(pairs):
-        runs = []
-        for half in range(2):
-            seed = np.uint64(0x9E3779B97F4A7C15 * (2 * pair + half + 1) % 2**64)
-            runs.append(window_minima(mix64(shingles ^ seed), width))
-        starts = np.union1d(runs[0][0], runs[1][0])
-        a, b = (at[np.searchsorted(first, starts, "right") - 1] for first, at in runs)
-        key = mix64(shingles[a] * np.uint64(0xC2B2AE3D27D4EB4F) + shingles[b] + np.uint64(pair))
-        keys.append(key.astype(np.int64))
-        places.append(a.astype(np.int32))
-    return np.concatenate(keys), np.concatenate(places)
+    starts = np.arange(len(shingles) - width + 1)
+    found = list(window_keys(shingles, width, starts, np.zeros(len(starts), int), pairs))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def places_by_key(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct keys, where the places of each start, and its distinct places."""
-    order = np.lexsort((places, keys))
-    keys, places = keys[order], places[order]
-    new_key = np.diff(keys, prepend=keys[:1] - 1) != 0
+    return places_of_texts(keys, places, np.zeros(len(keys), int))[:3]
+
+
+def places_of_texts(
+    keys: np.ndarray, places: np.ndarray, texts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`places_by_key` of each text in turn, with the number of each key's text."""
+    order = np.lexsort((places, keys, texts))
+    keys, places, texts = keys[order], places[order], texts[order]
+    new_key = np.ones(len(keys), bool)
+    new_key[1:] = (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1])
     kept = new_key | (np.diff(places, prepend=-1) != 0)
-    keys, places = keys[kept], places[kept]
+    keys, places, texts = keys[kept], places[kept], texts[kept]
     heads = np.flatnonzero(new_key[kept])
-    return keys[heads], heads, places
+    return keys[heads], heads, places, texts[heads]
+
+
+def keys_of_texts(texts: list[str | None], shingle: int, length: int) -> tuple:
+    """What :func:`_passages` lists of some texts, all at once.
+
+    These are the numbers of words, the shingles modulo the bits of a sketch, the number of
+    keys of each text, and the lists of :func:`places_by_key`.
+    """
+    words, counts = hashed_texts(texts)
+    begins, windows = np.cumsum(counts) - counts, np.maximum(counts - length + 1, 0)
+    # Windows that reach over the end of a text are passed over.
+    shingles, of = shingle_hashes(words, shingle), np.repeat(np.arange(len(texts)), windows)
+    bits = (shingles % np.uint64(SKETCH_BITS)).astype(np.uint16)
+    grams = [
+        bits[b : b + n - shingle + 1].tobytes() if n >= length else b"" for b, n in zip(begins.tolist(), counts.tolist())
+    ]
+    if not len(of):
+        return counts, grams, np.zeros(len(texts), int), *places_by_key(np.zeros(0, np.int64), np.zeros(0, np.int32))
+    starts = np.arange(len(of)) + np.repeat(begins - np.cumsum(windows) + windows, windows)
+    found = list(window_keys(shingles, length - shingle + 1, starts, of))
+    key, at, text = (np.concatenate([f[k] for f in found]) for k in range(3))
+    key, head, place, text = places_of_texts(key, (at - begins[text]).astype(np.int32), text)
+    return counts, grams, np.bincount(text, minlength=len(texts)), key, head, place
 
 
 def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
-    width = length - shingle + 1
     listed, lists = pa.list_(pa.int64()), pa.list_(pa.list_(pa.int32()))
 
     def find(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
-            counts, grams, keys, heads, places = [], [], [], [], []
-            ends, n_places = [0], 0
-            for text in batch.column(2):
-                words = hashed_words(text.as_py())
-                counts.append(len(words))
-                if len(words) < length:
-                    grams.append(b"")
-                    ends.append(ends[-1])
-                else:
-                    shingles = shingle_hashes(words, shingle)
-                    grams.append((shingles % np.uint64(SKETCH_BITS)).astype(np.uint16).tobytes())
-                    key, head, place = places_by_key(*passage_keys(shingles, width))
-                    keys.append(key)
-                    heads.append(head + n_places)
-                    places.append(place)
-                    ends.append(ends[-1] + len(key))
-                    n_places += len(place)
-            key, head, place = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (keys, heads, places))
-            ends = pa.array(ends, pa.int32())
+            # Columns of blocks of texts, which are bounded so that their numbers stay in the CPU's cache.
+            size = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+            load = np.cumsum(size) // BYTES_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(load)) + 1).tolist(), batch.num_rows]
+            parts = [keys_of_texts(batch.column(2)[a:b].to_pylist(), shingle, length) for a, b in zip(cuts, cuts[1:])]
+            counts, grams, sizes, key, head, place = zip(*parts) if parts else [[]] * 6
+            base = np.cumsum([0, *map(len, place)])
+            head = [h + b for h, b in zip(head, base)] + [base[-1:]]
+            ends = np.cumsum(np.concatenate([[0], *sizes]))
             inner = pa.ListArray.from_arrays(
-                pa.array(np.append(head, n_places).astype(np.int32)), pa.array(place.astype(np.int32))
+                pa.array(np.concatenate(head).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *place]))
             )
+            key = pa.array(np.concatenate([np.zeros(0, np.int64), *key]))
+            ends = pa.array(ends.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
-                 pa.ListArray.from_arrays(ends, pa.array(key)).cast(listed),
-                 pa.ListArray.from_arrays(ends, inner).cast(lists), pa.array(grams, pa.binary())],
+                [batch.column(0), batch.column(1), pa.array(np.concatenate([np.zeros(0, int), *counts])),
+                 pa.ListArray.from_arrays(ends, key).cast(listed), pa.ListArray.from_arrays(ends, inner).cast(lists),
+                 pa.array([g for part in grams for g in part], pa.binary())],
                 names=["doc_id", "digest", "n_words", "keys", "places", "grams"],
             )
 
@@ -142,13 +173,28 @@ def sketch(grams: np.ndarray, places: list[int], width: int) -> tuple[np.ndarray
 
     All windows of ``width`` shingles that hold one of the places lie in the surroundings.
     """
-    around = np.add.outer(places, np.arange(1 - width, width)).ravel()
-    around = around[(around >= 0) & (around < len(grams))]
-    if len(places) > 1:
-        around = np.unique(around)
-    bits = np.zeros(SKETCH_BITS, bool)
-    bits[grams[around]] = True
-    return np.packbits(bits).view(np.int64), len(around) - int(np.count_nonzero(bits))
+    places, zeros = np.sort(places), np.zeros(len(places), int)
+    bits, lost = sketches(grams, places, zeros, zeros, zeros + len(grams), 1, width)
+    return bits[0], int(lost[0])
+
+
+def sketches(
+    grams: np.ndarray, places: np.ndarray, of: np.ndarray, begin: np.ndarray, end: np.ndarray, count: int, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The :func:`sketch` of each of ``count`` lists of places; ``of`` numbers the list of a place, in order.
+
+    ``grams`` are those of several texts; those of a place's text are from ``begin`` to ``end``.
+    """
+    low, high = np.maximum(begin, places - width + 1), np.minimum(end, places + width)
+    # What lies around two places of a list counts once.
+    same = of[1:] == of[:-1]
+    low[1:][same] = np.maximum(low[1:], high[:-1])[same]
+    sizes = np.maximum(high - low, 0)
+    around = np.arange(sizes.sum()) + np.repeat(low - np.cumsum(sizes) + sizes, sizes)
+    bits = np.zeros((count, SKETCH_BITS), bool)
+    bits[np.repeat(of, sizes), grams[around]] = True
+    lost = np.bincount(of, sizes, minlength=count).astype(np.int32) - np.count_nonzero(bits, axis=1)
+    return np.packbits(bits, axis=1).view(np.int64), lost
 
 
 def numbered(hits: DataFrame) -> DataFrame:
@@ -176,20 +222,28 @@ def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
 
     def add(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
-            found, sketches, lost = [], [], []
-            for row, own, raw, n_words in zip(*(batch.column(c).to_pylist() for c in ("row", "own", "grams", "n_words"))):
-                grams = np.frombuffer(raw, np.uint16)
-                for hit in own:
-                    bits, gone = sketch(grams, hit["places"], width)
-                    found.append((hit["key"], row, hit["places"], hit["nth"], hit["n"], n_words))
-                    sketches.append(bits)
-                    lost.append(gone)
-            numbers = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64()]
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*found) if found else [[]] * len(kinds), kinds)]
-            columns += [pa.array(numbers[:, k]) for k in range(len(SKETCH))]
+            own = batch.column("own")
+            row, hits = pc.list_parent_indices(own), own.flatten()
+            lists = hits.field("places")
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            places, of = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
+            # Bytes of the texts' shingles, two for each.
+            raws = batch.column("grams")
+            grams = np.frombuffer(b"".join(raws.to_pylist()), np.uint16)
+            begins = np.concatenate([[0], np.cumsum(pc.binary_length(raws).to_numpy() // 2)])
+            text = row.to_numpy()[of]
+            found = []
+            for low in range(0, len(hits), HITS_AT_ONCE):
+                high = min(low + HITS_AT_ONCE, len(hits))
+                some = slice(ends[low - 1] if low else 0, ends[high - 1])
+                begin, end = begins[text[some]], begins[text[some] + 1]
+                found.append(sketches(grams, places[some] + begin, of[some] - low, begin, end, high - low, width))
+            numbers = np.concatenate([np.zeros((0, len(SKETCH)), np.int64), *(f[0] for f in found)])
+            lost = np.concatenate([np.zeros(0, np.int32), *(f[1] for f in found)]).astype(np.int32)
+            columns = [hits.field("key"), batch.column("row").take(row), lists, hits.field("nth"), hits.field("n")]
+            columns += [batch.column("n_words").take(row), *(pa.array(numbers[:, k]) for k in range(len(SKETCH)))]
             names = ["key", "row", "places", "nth", "n", "n_words", *SKETCH, "lost"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lost, pa.int32())], names=names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lost)], names=names)
 
     numbers = ", ".join(f"{name} long" for name in SKETCH)
     return joined.mapInArrow(add, f"key long, row long, places array<int>, nth long, n long, n_words long, {numbers}, lost int")
@@ -398,6 +452,53 @@ def matching_spans(
                 inside = np.flatnonzero(marks[f + back : g + back + width])
                 covered[f + back + inside[0] : f + back + inside[-1] + 1] = True
 
+    def good_windows(shifts: np.ndarray, pairs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The shifts at which windows are similar by the pairs, and where these start; many at once."""
+        p, q, near, far = a[pairs], b[pairs], least[pairs], most[pairs]
+        x_low, x_high, y_low, y_high = x.low[p], x.high[p] + 1, y.low[q], y.high[q] + 1
+        step = max(1, CELLS_AT_ONCE // 16 // max(n + 1, len(pairs)))
+        for part in range(0, len(shifts), step):
+            some = shifts[part : part + step]
+            row, of = np.nonzero((near <= some[:, None]) & (far >= some[:, None]))
+            begin, end = np.maximum(0, -some), np.minimum(n, m - some)
+            first = np.maximum(np.maximum(x_low[of], y_low[of] - some[row]), begin[row])
+            last = np.minimum(np.minimum(x_high[of], y_high[of] - some[row]), end[row])
+            kept = first < last
+            row, first, last = row[kept] * (n + 1), first[kept], last[kept]
+            cells = len(some) * (n + 1)
+            steps = np.bincount(row + first, minlength=cells) - np.bincount(row + last, minlength=cells)
+            common = np.cumsum(steps.reshape(-1, n + 1), axis=1)[:, :n]
+            at, start = np.nonzero(common * (1 + threshold) >= threshold * (sizes.min() + other_sizes.min()) - 1e-9)
+            fine = (start >= begin[at]) & (start < end[at])
+            at, start = at[fine], start[fine]
+            both = sizes[start] + other_sizes[start + some[at]]
+            good = common[at, start] * (1 + threshold) >= threshold * both - 1e-9
+            at, start = at[good], start[good]
+            heads = np.searchsorted(at, np.arange(len(some) + 1))
+            for k in np.flatnonzero(np.diff(heads)).tolist():
+                yield int(some[k]), start[heads[k] : heads[k + 1]]
+
+    def adds(shift: int, found: np.ndarray, pairs: np.ndarray) -> bool:
+        """Whether marking the similar windows at ``found`` can cover anything new.
+
+        It does where a pair with a place that is not covered lies in them; ``pairs`` are those
+        that meet at the shift. Else it can only close a gap between places that are covered.
+        """
+        p, q = a[pairs], b[pairs]
+        first = np.maximum(x.low[p], y.low[q] - shift)
+        last = np.minimum(x.high[p], y.high[q] - shift) + 1
+        if np.any(found.searchsorted(first) < found.searchsorted(last)):
+            return True
+        cuts = np.flatnonzero(found[1:] - found[:-1] > width)
+        runs = zip(found[[0, *(cuts + 1)]].tolist(), found[[*cuts, -1]].tolist())
+        for f, g in runs:
+            for covered, back in ((mine, 0), (theirs, shift)):
+                inside = covered[f + back : g + back + width]
+                edges = np.count_nonzero(inside[1:] != inside[:-1])
+                if edges > 2 or edges == 2 and inside[0]:
+                    return True
+        return False
+
     everything = np.arange(len(a))
     enough = fits & (meeting(everything) >= needed)
     exact, counts = np.unique(y.places[y.firsts[b]] - x.places[x.firsts[a]], return_counts=True)
@@ -425,10 +526,16 @@ def matching_spans(
         close = (sums_x[x.high[a] + 1] > sums_x[x.low[a]]) | (sums_y[y.high[b] + 1] > sums_y[y.low[b]])
         close = np.flatnonzero(close)
         able_at = fits & (meeting(close) >= needed) & (meeting(np.flatnonzero(rest)) > 0) & ~tried
-        for shift in (np.flatnonzero(able_at) + base).tolist():
-            if np.any(rest & (least <= shift) & (shift <= most)):
+        # Far apart first: in a text of repeated lines a few shifts cover what all others do.
+        shifts = np.flatnonzero(able_at) + base
+        nth = np.arange(1, len(shifts) + 1)
+        for shift, good in good_windows(shifts[np.argsort(-(nth & -nth), kind="stable")], close):
+            left = np.flatnonzero(rest & (least <= shift) & (shift <= most))
+            if len(left) and adds(shift, good, left):
+                before = np.count_nonzero(mine) + np.count_nonzero(theirs)
                 mark(shift, close)
-                rest = undone()
+                if np.count_nonzero(mine) + np.count_nonzero(theirs) > before:
+                    rest = undone()
     return mine, theirs
 
 
@@ -473,6 +580,25 @@ def _verify(pairs: DataFrame, with_text, shingle: int, length: int, threshold: f
     )
 
 
+def may_be_in(df: DataFrame, asked: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is in ``asked``, and few others, without a shuffle of ``df``.
+
+    A bit map of the values' hashes, of 4 MB at most, is sent to all tasks.
+    """
+    def hashed(rows: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(rows[column]), F.lit(1 << MAP_BITS))
+
+    number = hashed(asked)
+    bits = asked.groupBy(F.bitmap_bucket_number(number).alias("map_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("map_bits")
+    )
+    number = hashed(df)
+    place = F.bitmap_bit_position(number).cast("int")
+    byte = F.conv(F.hex(F.substring("map_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = df.join(F.broadcast(bits), F.bitmap_bucket_number(number) == F.col("map_part"))
+    return found.where(F.getbit(byte, place % 8) == 1).drop("map_part", "map_bits")
+
+
 def repeated_passages(
     docs: DataFrame, length: int = LENGTH, threshold: float = THRESHOLD, shingle: int = SHINGLE
 ) -> DataFrame:
@@ -493,7 +619,8 @@ def repeated_passages(
     """
     chosen = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), "text")
     passages = _passages(chosen, shingle, length).withColumn("row", F.monotonically_increasing_id())
-    passages = stage(passages, "passage-keys")
+    with session_conf(docs.sparkSession, SMALL_BATCHES):
+        passages = stage(passages, "passage-keys")
     # Copies of a text have its keys: the first of them stands for all.
     long = passages.where(F.col("n_words") >= length).select("row", "digest", "n_words")
     firsts = long.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("n"))
@@ -507,7 +634,8 @@ def repeated_passages(
     hits = keyed.join(shared, "key").select("key", "row", "places")
     width = length - shingle + 1
     hits = numbered(stage(hits, "passage-hits"))
-    members = stage(_with_sketch(hits, passages, width), "passage-members")
+    with session_conf(docs.sparkSession, SMALL_BATCHES):
+        members = stage(_with_sketch(hits, passages, width), "passage-members")
 
     names = passages.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest")
     texts = chosen.select(
@@ -517,11 +645,11 @@ def repeated_passages(
     def with_text(df: DataFrame) -> DataFrame:
         """``df`` with the text of the document in ``row``; repeated rows multiply.
 
-        The rows asked for are stored, so that Spark knows how many they are and need not
-        shuffle the texts of all documents for few.
+        The rows asked for are stored, so that Spark knows how many they are; texts of most
+        other rows are left out before they are shuffled.
         """
         asked = stage(df.join(names, "row"), "passage-asked")
-        return asked.join(texts, ["id", "none", "digest"]).drop("id", "none", "digest")
+        return asked.join(may_be_in(texts, asked, "digest"), ["id", "none", "digest"]).drop("id", "none", "digest")
 
     spans, done, low, high = None, None, 0, 1
     waiting = members.withColumn("shared", F.lit(False))
