@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from wattspan.llm import common, substring_dedup
+from wattspan.llm import common, phrases, substring_dedup
 from wattspan.llm.common import hashed_texts, hashed_words, shingle_hashes
 
 
@@ -25,6 +25,18 @@ def test_texts_reach_python_in_small_batches(spark, monkeypatch):
     assert all(spark.conf.get(k) != v for k, v in common.SMALL_BATCHES.items())
 
 
+def test_parts_of_a_language_span_batches(monkeypatch):
+    monkeypatch.setattr(phrases, "TAKEN_BYTES", 100)
+    rows = [(("en", "fr", "xx")[k % 3], b"x" * 20) for k in range(99)]
+    batches = [
+        pa.record_batch([pa.array([r[0] for r in rows[k : k + 2]]), pa.array([r[1] for r in rows[k : k + 2]])], ["lang", "raw"])
+        for k in range(0, 99, 2)
+    ]
+    parts = [(lang, len(b"".join(texts))) for lang, texts in phrases._taken(iter(batches))]
+    assert all(sum(n for lang, n in parts if lang == own) == 33 * 20 for own in ("en", "fr", "xx"))
+    assert len(parts) <= 30 and max(n for _, n in parts) <= 100
+
+
 def test_texts_that_are_not_asked_for_are_left_out(spark):
     df = spark.range(2000).select("id", F.md5(F.col("id").cast("string").cast("binary")).alias("digest"))
     asked = df.where("id % 10 = 0").union(df.where("id = 10"))

@@ -23,7 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattspan.llm.common import BASE, BYTE_CODES, LOWER, UPPER, let_go, mix64, stage, table
+from wattspan.llm.common import BASE, BYTE_CODES, LOWER, SMALL_BATCHES, UPPER, let_go, mix64, stage, table
+from wattspan.session import session_conf
 
 LONGEST = 4
 LEAST = 30
@@ -149,16 +150,26 @@ def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _taken(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    """Texts of a batch by language, in parts of bounded bytes."""
-    by_lang: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("raw").to_pylist()):
-        by_lang.setdefault(lang, []).append(text)
-    for lang, texts in by_lang.items():
-        load = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))) // TAKEN_BYTES
-        edges = [0, *(np.flatnonzero(np.diff(load)) + 1), len(texts)]
-        for low, high in zip(edges, edges[1:]):
-            yield lang, texts[low:high]
+def _taken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts by language, in parts of bounded bytes, from as many batches as it takes.
+
+    A language's part is complete with ``TAKEN_BYTES``; the largest goes before where all hold twice that.
+    """
+    held: dict[str, list[bytes]] = {}
+    load: dict[str, int] = {}
+    total = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("raw").to_pylist()):
+            held.setdefault(lang, []).append(text)
+            load[lang] = load.get(lang, 0) + len(text)
+            total += len(text)
+            if load[lang] < TAKEN_BYTES:
+                if total < 2 * TAKEN_BYTES:
+                    continue
+                lang = max(load, key=load.get)
+            total -= load.pop(lang)
+            yield lang, held.pop(lang)
+    yield from held.items()
 
 
 def _rows(words: Words, size: int, hashes: np.ndarray, at: np.ndarray) -> tuple:
@@ -185,15 +196,14 @@ def all_counts(docs: DataFrame) -> DataFrame:
     """Numbers of all phrases of up to ``LONGEST`` words, by part of a batch; for the sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, texts in _taken(batch):
-                words, hashes = Words(texts, lang), None
-                for size in range(1, LONGEST + 1):
-                    hashes = words.phrases(size, hashes)
-                    own, times = np.unique(hashes[words.whole(size)], return_counts=True)
-                    yield pa.record_batch(
-                        [pa.array(own.view(np.int64)), pa.array(times.astype(np.int64))], ["hash", "n"]
-                    )
+        for lang, texts in _taken(batches):
+            words, hashes = Words(texts, lang), None
+            for size in range(1, LONGEST + 1):
+                hashes = words.phrases(size, hashes)
+                own, times = np.unique(hashes[words.whole(size)], return_counts=True)
+                yield pa.record_batch(
+                    [pa.array(own.view(np.int64)), pa.array(times.astype(np.int64))], ["hash", "n"]
+                )
 
     return docs.mapInArrow(count, "hash LONG, n LONG")
 
@@ -226,18 +236,17 @@ def bucket_counts(docs: DataFrame, proposed, counted=None) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, texts in _taken(batch):
-                words = Words(texts, lang)
-                found = [h[at] >> np.uint64(64 - MAP_BITS) for _, h, at in _bordering(words, proposed, counted)]
-                own, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
-                part = (own >> np.uint64(MAP_BITS - PART_BITS)).astype(np.int32)
-                heads = np.flatnonzero(np.diff(part, prepend=-1))
-                own, times = own.astype(np.uint32), np.minimum(times, 255).astype(np.uint8)
-                edges = np.append(heads, len(own))
-                packed = [(own[a:b].tobytes(), times[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
-                columns = [pa.array(part[heads])] + [pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1)]
-                yield pa.record_batch(columns, ["part", "buckets", "times"])
+        for lang, texts in _taken(batches):
+            words = Words(texts, lang)
+            found = [h[at] >> np.uint64(64 - MAP_BITS) for _, h, at in _bordering(words, proposed, counted)]
+            own, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+            part = (own >> np.uint64(MAP_BITS - PART_BITS)).astype(np.int32)
+            heads = np.flatnonzero(np.diff(part, prepend=-1))
+            own, times = own.astype(np.uint32), np.minimum(times, 255).astype(np.uint8)
+            edges = np.append(heads, len(own))
+            packed = [(own[a:b].tobytes(), times[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+            columns = [pa.array(part[heads])] + [pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1)]
+            yield pa.record_batch(columns, ["part", "buckets", "times"])
 
     return docs.mapInArrow(count, "part INT, buckets BINARY, times BINARY")
 
@@ -284,15 +293,14 @@ def border_counts(docs: DataFrame, proposed, heavy, counted=None) -> DataFrame:
     """Numbers, by part of a batch, of the phrases of a pass whose bucket is in ``heavy``; packed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, texts in _taken(batch):
-                words, found = Words(texts, lang), []
-                for size, hashes, at in _bordering(words, proposed, counted):
-                    at = at[in_map(heavy.value, hashes[at])]
-                    if len(at):
-                        found.append(_rows(words, size, hashes, at))
-                if found:
-                    yield _packed(lang, found)
+        for lang, texts in _taken(batches):
+            words, found = Words(texts, lang), []
+            for size, hashes, at in _bordering(words, proposed, counted):
+                at = at[in_map(heavy.value, hashes[at])]
+                if len(at):
+                    found.append(_rows(words, size, hashes, at))
+            if found:
+                yield _packed(lang, found)
 
     return docs.mapInArrow(count, PACKED_SCHEMA)
 
@@ -369,26 +377,27 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, one_in: int = SAMPLED_
         F.coalesce("text", F.lit("")).cast("binary").alias("raw"),
     )
     sample = units.where(F.pmod(F.xxhash64("raw"), F.lit(one_in)) == 0)
-    enough = max(2, int(least / one_in * LOWERED))
-    seen = all_counts(sample).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= enough)
-    bits, counted, found = _proposed_map(seen), None, None
-    del seen
-    let_go(spark)
-    while True:
-        proposed = PhraseMap(spark, bits)
-        heavy = PhraseMap(spark, heavy_map(bucket_counts(units, proposed, counted), least))
+    with session_conf(spark, SMALL_BATCHES):
+        enough = max(2, int(least / one_in * LOWERED))
+        seen = all_counts(sample).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= enough)
+        bits, counted, found = _proposed_map(seen), None, None
+        del seen
         let_go(spark)
-        rows = _summed(border_counts(units, proposed, heavy, counted), least)
-        rows = stage(rows, "phrases")
-        found = rows if found is None else found.unionByName(rows)
-        outside = rows.where(F.col("size") < LONGEST).mapInArrow(_outside(proposed), "hash LONG")
-        grown = _proposed_map(outside, bits)
-        heavy.drop()
-        if counted is not None:
-            counted.drop()
-        if np.array_equal(grown, bits):
-            break
-        bits, counted = grown, proposed
+        while True:
+            proposed = PhraseMap(spark, bits)
+            heavy = PhraseMap(spark, heavy_map(bucket_counts(units, proposed, counted), least))
+            let_go(spark)
+            rows = _summed(border_counts(units, proposed, heavy, counted), least)
+            rows = stage(rows, "phrases")
+            found = rows if found is None else found.unionByName(rows)
+            outside = rows.where(F.col("size") < LONGEST).mapInArrow(_outside(proposed), "hash LONG")
+            grown = _proposed_map(outside, bits)
+            heavy.drop()
+            if counted is not None:
+                counted.drop()
+            if np.array_equal(grown, bits):
+                break
+            bits, counted = grown, proposed
     return found.drop("hash").join(word_totals(units), "lang")
 
 
