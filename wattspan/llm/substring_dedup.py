@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from wattspan.llm.common import (
     ASCII_LOWER,
@@ -41,9 +42,11 @@ THRESHOLD = 0.8
 # windows always do, windows of similarity s with a chance of 1 - (1 - s^2)^PAIRS (0.95 at
 # 0.8), each time one slides on.
 PAIRS = 3
-# Bits of the sketch of a key's surroundings, kept in numbers of 64.
-SKETCH_BITS = 512
-SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
+# Shingles around a key are known by so many bits. A sketch of the key's surroundings folds
+# them into fewer, kept in numbers of 64.
+SKETCH_BITS, FOLDED_BITS = 4096, 512
+SKETCH = [f"s{k}" for k in range(FOLDED_BITS // 64)]
+AROUND = ["lost", "around", "few_lost"]
 # The verification looks for dense places in a pair of texts by at most so many cells.
 CELLS_AT_ONCE = 4_000_000
 # A task of the verification keeps the n-grams of the texts met most recently, up to so many.
@@ -54,6 +57,8 @@ HITS_AT_ONCE = 4_000
 PAIRS_AT_ONCE, WORDS_AT_ONCE = 2_000, 8_000_000
 # Rows are numbered by partition of the input; so many bits are the number within it.
 ROW_BITS = 33
+# From so many rows of a key on, the rows that one is compared with grow faster in number.
+FEW = 43
 # Bits of the map of the texts that are asked for.
 MAP_BITS = 25
 
@@ -169,34 +174,100 @@ def _passages(docs: DataFrame, shingle: int, length: int) -> DataFrame:
 
 
 def sketch(grams: np.ndarray, places: list[int], width: int) -> tuple[np.ndarray, int]:
-    """Bits of the shingles around ``places``, and how many shingles set none of their own.
+    """Bits of the shingles around ``places``, and how many of a window may set none of their own.
 
     All windows of ``width`` shingles that hold one of the places lie in the surroundings.
     """
     places, zeros = np.sort(places), np.zeros(len(places), int)
-    bits, lost = sketches(grams, places, zeros, zeros, zeros + len(grams), 1, width)
+    most = most_lost(grams % FOLDED_BITS, np.array([0, len(grams)]), width)
+    bits, lost = sketches(grams, most, places, zeros, zeros, zeros + len(grams), 1, width)
     return bits[0], int(lost[0])
 
 
+def most_lost(grams: np.ndarray, begins: np.ndarray, width: int) -> np.ndarray:
+    """For each place, the most shingles that set no bit of their own in a window of ``width`` around it.
+
+    ``grams`` are those of several texts, whose first places and end are ``begins``.
+    """
+    sizes = np.diff(begins)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(grams))
+    # By text, then by bit, then by place.
+    ranked = np.sort((text * SKETCH_BITS + grams << 32) + place)
+    order, ranked = ranked & 0xFFFFFFFF, ranked >> 32
+    before = np.full(len(grams), -1)
+    same = np.flatnonzero(ranked[1:] == ranked[:-1])
+    before[order[same + 1]] = order[same]
+    # A window counts the first place of a bit in it.
+    first = np.maximum(place - width, before) + 1
+    steps = np.bincount(first, minlength=len(grams) + 1)
+    steps[1:] -= 1
+    lost = width - np.cumsum(steps)[: len(grams)]
+    # Windows that reach over the end of a text are passed over.
+    lost[place + width > begins[1:][text]] = 0
+    most = np.concatenate([np.zeros(width - 1, lost.dtype), lost])
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        most = np.maximum(most[step:], most[:-step])
+        size += step
+    return most
+
+
 def sketches(
-    grams: np.ndarray, places: np.ndarray, of: np.ndarray, begin: np.ndarray, end: np.ndarray, count: int, width: int
+    grams: np.ndarray,
+    most: np.ndarray,
+    places: np.ndarray,
+    of: np.ndarray,
+    begin: np.ndarray,
+    end: np.ndarray,
+    count: int,
+    width: int,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The :func:`sketch` of each of ``count`` lists of places; ``of`` numbers the list of a place, in order.
 
-    ``grams`` are those of several texts; those of a place's text are from ``begin`` to ``end``.
+    ``grams`` are those of several texts, with their :func:`most_lost`; those of a place's text
+    are from ``begin`` to ``end``.
     """
+    lost = np.zeros(count, np.int32)
+    np.maximum.at(lost, of, most[places])
     low, high = np.maximum(begin, places - width + 1), np.minimum(end, places + width)
     # What lies around two places of a list counts once.
     same = of[1:] == of[:-1]
     low[1:][same] = np.maximum(low[1:], high[:-1])[same]
     sizes = np.maximum(high - low, 0)
     around = np.arange(sizes.sum()) + np.repeat(low - np.cumsum(sizes) + sizes, sizes)
-    bits = np.zeros((count, SKETCH_BITS), bool)
-    bits[np.repeat(of, sizes), grams[around]] = True
-    lost = np.bincount(of, sizes, minlength=count).astype(np.int32) - np.count_nonzero(bits, axis=1)
+    bits = np.zeros((count, FOLDED_BITS), bool)
+    bits[np.repeat(of, sizes), grams[around] % FOLDED_BITS] = True
     return np.packbits(bits, axis=1).view(np.int64), lost
 
 
+def around(grams: np.ndarray, places: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
+    """The shingles around each of ``places`` in a row of its own, ``SKETCH_BITS`` beyond its text.
+
+    ``grams`` are those of several texts; those of a place's text are from ``begin`` to ``end``.
+    """
+    at = places[:, None] + np.arange(1 - width, width)
+    inside = (at >= begin[:, None]) & (at < end[:, None])
+    return np.where(inside, grams[np.where(inside, at, 0)], np.uint16(SKETCH_BITS))
+
+
+def may_hold(own: np.ndarray, other: np.ndarray, width: int, needed: np.ndarray) -> np.ndarray:
+    """In which rows :func:`around` two places a window of either has ``needed`` shingles that the other's has.
+
+    Similar windows that hold the places have so many, by :func:`may_match`, and those lie around the places.
+    """
+    rows, fits = np.arange(len(own))[:, None], np.ones(len(own), bool)
+    for these, those in ((own, other), (other, own)):
+        known = np.zeros((len(own), SKETCH_BITS + 1), bool)
+        known[rows, those] = True
+        known[:, SKETCH_BITS] = False
+        sums = np.cumsum(known[rows, these], axis=1, dtype=np.int32)
+        sums[:, width:] -= sums[:, : -width].copy()
+        fits &= sums[:, width - 1 :].max(axis=1) >= needed
+    return fits
+
+
 def numbered(hits: DataFrame) -> DataFrame:
     """``hits`` with ``nth``, the number of its row under its key, and ``n``, all rows of the key.
 
@@ -216,7 +287,12 @@ def numbered(hits: DataFrame) -> DataFrame:
 
 
 def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
-    """``hits`` with the sketch of their places and the number of words of their text."""
+    """``hits`` with the sketch of their places and the number of words of their text.
+
+    Those of a key that more than two have come with the shingles ``around`` their place, if
+    it is one alone, but for the key's first row; of these shingles ``few_lost`` set no bit of
+    their own.
+    """
     own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "places", "nth", "n")).alias("own"))
     joined = own.join(passages.select("row", "grams", "n_words"), "row")
 
@@ -231,36 +307,67 @@ def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
             raws = batch.column("grams")
             grams = np.frombuffer(b"".join(raws.to_pylist()), np.uint16)
             begins = np.concatenate([[0], np.cumsum(pc.binary_length(raws).to_numpy() // 2)])
-            text = row.to_numpy()[of]
+            most, text = most_lost(grams % FOLDED_BITS, begins, width), row.to_numpy()[of]
             found = []
             for low in range(0, len(hits), HITS_AT_ONCE):
                 high = min(low + HITS_AT_ONCE, len(hits))
                 some = slice(ends[low - 1] if low else 0, ends[high - 1])
                 begin, end = begins[text[some]], begins[text[some] + 1]
-                found.append(sketches(grams, places[some] + begin, of[some] - low, begin, end, high - low, width))
+                found.append(sketches(grams, most, places[some] + begin, of[some] - low, begin, end, high - low, width))
+            single = (pc.list_value_length(lists).to_numpy() == 1) & (hits.field("n").to_numpy() > 2)
+            single = np.flatnonzero(single & (hits.field("nth").to_numpy() > 1))
+            near, few = np.full(len(hits), None, object), np.zeros(len(hits), np.int32)
+            if len(single):
+                at = ends[single] - 1
+                few[single] = most_lost(grams, begins, width)[places[at] + begins[text[at]]]
+            for low in range(0, len(single), HITS_AT_ONCE):
+                some = single[low : low + HITS_AT_ONCE]
+                at, own_text = places[ends[some] - 1], text[ends[some] - 1]
+                begin, end = begins[own_text], begins[own_text + 1]
+                near[some] = [r.tobytes() for r in around(grams, at + begin, begin, end, width)]
             numbers = np.concatenate([np.zeros((0, len(SKETCH)), np.int64), *(f[0] for f in found)])
             lost = np.concatenate([np.zeros(0, np.int32), *(f[1] for f in found)]).astype(np.int32)
             columns = [hits.field("key"), batch.column("row").take(row), lists, hits.field("nth"), hits.field("n")]
             columns += [batch.column("n_words").take(row), *(pa.array(numbers[:, k]) for k in range(len(SKETCH)))]
-            names = ["key", "row", "places", "nth", "n", "n_words", *SKETCH, "lost"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lost)], names=names)
+            columns += [pa.array(lost), pa.array(near, pa.binary()), pa.array(few)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "row", "places", "nth", "n", "n_words", *SKETCH, *AROUND])
 
     numbers = ", ".join(f"{name} long" for name in SKETCH)
-    return joined.mapInArrow(add, f"key long, row long, places array<int>, nth long, n long, n_words long, {numbers}, lost int")
+    return joined.mapInArrow(add, f"key long, row long, places array<int>, nth long, n long, n_words long, {numbers}, lost int, around binary, few_lost int")
 
 
 def may_match(width: int, threshold: float) -> Column:
     """Whether windows around two rows' places of a key can be similar, by the sketches alone.
 
     Two sets of at least ``threshold`` have ``threshold / (1 + threshold)`` of their sizes in
-    common. A shingle that repeats, or shares a bit, lowers a size or the common bits by one,
-    and of those that both have it lowers both sides: no similar pair is turned away.
+    common. A shingle of a window that repeats, or shares a bit, lowers a size or the common bits
+    by one, and of those that both have it lowers both sides: no similar pair is turned away.
     """
     common = sum((F.bit_count(F.col(name).bitwiseAND(F.col(f"other_{name}"))) for name in SKETCH), F.lit(0))
     needed = 2 * width * threshold / (1 + threshold) - 1e-6
     return common >= F.lit(needed) - 0.5 * (F.col("lost") + F.col("other_lost"))
 
 
+def _may_meet(met: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The pairs of ``met`` but those that :func:`may_hold` rules out, where either has one place."""
+    def judge(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batch_iter:
+            raws = batch.column("around"), batch.column("other_around")
+            single = pc.and_(*(pc.is_valid(r) for r in raws)).to_numpy(zero_copy_only=False)
+            kept, single = ~single, np.flatnonzero(single)
+            lost = sum(batch.column(c).to_numpy() for c in ("few_lost", "other_few_lost"))
+            needed = 2 * width * threshold / (1 + threshold) - 1e-6 - 0.5 * lost
+            for low in range(0, len(single), HITS_AT_ONCE // 4):
+                some = single[low : low + HITS_AT_ONCE // 4]
+                own, other = (
+                    np.frombuffer(b"".join(r.take(pa.array(some)).to_pylist()), np.uint16).reshape(len(some), -1) for r in raws
+                )
+                kept[some] = may_hold(own, other, width, needed[some])
+            yield batch.select(["row", "other", "words"]).filter(pa.array(kept))
+
+    return met.mapInArrow(judge, "row long, other long, words long")
+
+
 def runs_of(covered: np.ndarray) -> Iterator[tuple[int, int]]:
     """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
@@ -456,9 +563,14 @@ def matching_spans(
         """The shifts at which windows are similar by the pairs, and where these start; many at once."""
         p, q, near, far = a[pairs], b[pairs], least[pairs], most[pairs]
         x_low, x_high, y_low, y_high = x.low[p], x.high[p] + 1, y.low[q], y.high[q] + 1
-        step = max(1, CELLS_AT_ONCE // 16 // max(n + 1, len(pairs)))
-        for part in range(0, len(shifts), step):
+        step, part = 1, 0
+        while part < len(shifts) and rest.any():
             some = shifts[part : part + step]
+            part, step = part + step, min(4 * step, max(1, CELLS_AT_ONCE // 16 // max(n + 1, len(pairs))))
+            # What was marked meanwhile may leave nothing for a shift to add.
+            some = some[meeting(np.flatnonzero(rest))[some - base] > 0]
+            if not len(some):
+                continue
             row, of = np.nonzero((near <= some[:, None]) & (far >= some[:, None]))
             begin, end = np.maximum(0, -some), np.minimum(n, m - some)
             first = np.maximum(np.maximum(x_low[of], y_low[of] - some[row]), begin[row])
@@ -630,6 +742,8 @@ def repeated_passages(
     distinct = passages.select("row", "keys", "places").join(copies.select("row"), "row", "left_anti")
     # A row has a key once.
     keyed = distinct.select("row", F.inline(F.arrays_zip("keys", "places"))).toDF("row", "key", "places")
+    if not isinstance(keyed.schema["places"].dataType, ArrayType):
+        keyed = keyed.withColumn("places", F.array("places"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     hits = keyed.join(shared, "key").select("key", "row", "places")
     width = length - shingle + 1
@@ -651,33 +765,51 @@ def repeated_passages(
         asked = stage(df.join(names, "row"), "passage-asked")
         return asked.join(may_be_in(texts, asked, "digest"), ["id", "none", "digest"]).drop("id", "none", "digest")
 
-    spans, done, low, high = None, None, 0, 1
-    waiting = members.withColumn("shared", F.lit(False))
+    def not_covered(rows: DataFrame, spans: DataFrame, low: int) -> DataFrame:
+        """Those of ``rows`` whose place is no repeat by ``spans``, and whether it is ``shared``.
+
+        Rows that have met all others of their key by now are left out, too.
+        """
+        known = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("known"))
+        state = rows.where(F.col("n") > low).join(known, "row", "left")
+        inside = f"forall(places, p -> exists(known, s -> s.start <= p AND p <= s.end - {shingle}%s))"
+        state = state.where(f"NOT coalesce({inside % ' AND NOT s.kept'}, false)")
+        state = state.withColumn("shared", F.expr(f"coalesce({inside % ''}, false)")).drop("known")
+        return state.where(f"NOT shared OR nth > {low + 1}")
+
+    spans, done, low, high, rows = None, None, 0, 1, members
+    # The first row of a key meets all others in the first round.
+    waiting = members.where("nth > 1").withColumn("shared", F.lit(False))
     while True:
         # Rows whose passage later rows repeat need earlier ones only.
-        others = members.where((F.col("nth") > low) & (F.col("nth") <= high)).select(
-            "key", F.col("row").alias("other"), *(F.col(c).alias(f"other_{c}") for c in (*SKETCH, "lost", "n_words"))
+        others = rows.where((F.col("nth") > low) & (F.col("nth") <= high)).select(
+            "key", F.col("row").alias("other"), *(F.col(c).alias(f"other_{c}") for c in (*SKETCH, *AROUND, "n_words"))
         )
         met = waiting.join(others, "key").where("row <> other AND (other < row OR NOT shared)")
-        met = met.where(may_match(width, threshold))
-        pairs = met.select(
+        met = met.where(may_match(width, threshold)).select(
             F.greatest("row", "other").alias("row"), F.least("row", "other").alias("other"),
-            (F.col("n_words") + F.col("other_n_words")).alias("words"),
-        ).distinct()
+            (F.col("n_words") + F.col("other_n_words")).alias("words"), *(f"{side}{c}" for side in ("", "other_") for c in AROUND[1:]),
+        )
+        if low:
+            with session_conf(docs.sparkSession, SMALL_BATCHES):
+                met = stage(_may_meet(met, width, threshold), "passage-met")
+        pairs = met.select("row", "other", "words").distinct()
         if done is not None:
             pairs = pairs.join(done, ["row", "other"], "left_anti")
         pairs = stage(pairs, "passage-pairs")
-        found = _verify(pairs, with_text, shingle, length, threshold)
-        found = stage(found.dropDuplicates(["row", "start", "end", "kept"]), "passage-spans")
-        done = pairs if done is None else done.unionByName(pairs)
-        spans = found if spans is None else spans.unionByName(found)
-        low, high = high, 4 * high - 1 if high > 1 else 3
-        known = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end", "kept")).alias("known"))
-        state = waiting.drop("shared").where(F.col("n") > low).join(known, "row", "left")
-        inside = f"forall(places, p -> exists(known, s -> s.start <= p AND p <= s.end - {shingle}%s))"
-        state = state.where(f"NOT coalesce({inside % ' AND NOT s.kept'}, false)")
-        state = state.withColumn("shared", F.expr(f"coalesce({inside % ''}, false)")).drop("known")
-        waiting = stage(state.where(f"NOT shared OR nth > {low + 1}"), "passage-waiting")
+        if spans is None or not pairs.isEmpty():
+            found = _verify(pairs, with_text, shingle, length, threshold)
+            found = stage(found.dropDuplicates(["row", "start", "end", "kept"]), "passage-spans")
+            done = pairs if done is None else done.unionByName(pairs)
+            spans = found if spans is None else spans.unionByName(found)
+        first, low, high = low == 0, high, (16 if high >= FEW else 4) * high - 1 if high > 1 else 3
+        if first:
+            left = members.where("n > 2 AND nth > 1").select("key", "row", "places", "nth", "n")
+            left = stage(not_covered(left, spans, low).select("key", "row", "shared"), "passage-left")
+            rows = stage(may_be_in(members.where("n > 2 AND nth > 1"), left, "key"), "passage-members")
+            waiting = stage(rows.join(left, ["key", "row"]), "passage-waiting")
+        else:
+            waiting = stage(not_covered(waiting.drop("shared"), spans, low), "passage-waiting")
         if waiting.isEmpty():
             break
 
