@@ -57,6 +57,8 @@ HITS_AT_ONCE = 4_000
 PAIRS_AT_ONCE, WORDS_AT_ONCE = 2_000, 8_000_000
 # Rows are numbered by partition of the input; so many bits are the number within it.
 ROW_BITS = 33
+# The shingles around a key's places are kept where these are so many at most.
+PLACES = 8
 # From so many rows of a key on, the rows that one is compared with grow faster in number.
 FEW = 43
 # Bits of the map of the texts that are asked for.
@@ -252,19 +254,39 @@ def around(grams: np.ndarray, places: np.ndarray, begin: np.ndarray, end: np.nda
     return np.where(inside, grams[np.where(inside, at, 0)], np.uint16(SKETCH_BITS))
 
 
-def may_hold(own: np.ndarray, other: np.ndarray, width: int, needed: np.ndarray) -> np.ndarray:
-    """In which rows :func:`around` two places a window of either has ``needed`` shingles that the other's has.
+def may_hold(own: np.ndarray, other: np.ndarray, width: int, needed: float, own_lost: np.ndarray, lost: np.ndarray) -> np.ndarray:
+    """In which rows :func:`around` two places windows of both may be similar, by the shingles that the other has there.
 
-    Similar windows that hold the places have so many, by :func:`may_match`, and those lie around the places.
+    Similar windows have, by :func:`may_match`, ``needed`` in common but for half of what sets no
+    bit of its own in them; in the other's that is ``lost`` at most. What they share lies around the places.
     """
-    rows, fits = np.arange(len(own))[:, None], np.ones(len(own), bool)
-    for these, those in ((own, other), (other, own)):
-        known = np.zeros((len(own), SKETCH_BITS + 1), bool)
+    count, size = own.shape
+    rows, fits = np.arange(count)[:, None], np.ones(count, bool)
+    for these, those, most in ((own, other, lost), (other, own, own_lost)):
+        known = np.zeros((count, SKETCH_BITS + 1), bool)
         known[rows, those] = True
-        known[:, SKETCH_BITS] = False
-        sums = np.cumsum(known[rows, these], axis=1, dtype=np.int32)
-        sums[:, width:] -= sums[:, : -width].copy()
-        fits &= sums[:, width - 1 :].max(axis=1) >= needed
+        inside = these != SKETCH_BITS
+        # By bit, then by place.
+        ranked = np.sort(these.astype(np.int32) * size + np.arange(size, dtype=np.int32), axis=1)
+        place, value = ranked % size, ranked // size
+        before = np.full((count, size), -1)
+        same = value[:, 1:] == value[:, :-1]
+        before[:, 1:][same] = place[:, :-1][same]
+        # A window counts the first place of a bit in it.
+        first = np.maximum(np.maximum(place - width, before) + 1, 0)
+        last = np.minimum(place, size - width) + 1
+
+        def distinct(chosen: np.ndarray) -> np.ndarray:
+            row, at = np.nonzero(chosen & (first < last))
+            base, cells = row * (size - width + 2), count * (size - width + 2)
+            steps = np.bincount(base + first[row, at], minlength=cells) - np.bincount(base + last[row, at], minlength=cells)
+            return np.cumsum(steps.reshape(count, -1), axis=1)[:, :-1]
+
+        within = np.concatenate([np.zeros((count, 1), int), np.cumsum(inside, axis=1)], axis=1)
+        whole = within[:, width:] - within[:, :-width] == width
+        real = value != SKETCH_BITS
+        least = needed - 0.5 * (width - distinct(real) + most[:, None])
+        fits &= (whole & (distinct(real & known[rows, value]) >= least)).any(axis=1)
     return fits
 
 
@@ -289,9 +311,9 @@ def numbered(hits: DataFrame) -> DataFrame:
 def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
     """``hits`` with the sketch of their places and the number of words of their text.
 
-    Those of a key that more than two have come with the shingles ``around`` their place, if
-    it is one alone, but for the key's first row; of these shingles ``few_lost`` set no bit of
-    their own.
+    Those of a key that more than two have come with the shingles ``around`` their places,
+    unless these are more than ``PLACES``, but for the key's first row; of a window's shingles there
+    ``few_lost`` at most set no bit of their own.
     """
     own = hits.groupBy("row").agg(F.collect_list(F.struct("key", "places", "nth", "n")).alias("own"))
     joined = own.join(passages.select("row", "grams", "n_words"), "row")
@@ -314,22 +336,23 @@ def _with_sketch(hits: DataFrame, passages: DataFrame, width: int) -> DataFrame:
                 some = slice(ends[low - 1] if low else 0, ends[high - 1])
                 begin, end = begins[text[some]], begins[text[some] + 1]
                 found.append(sketches(grams, most, places[some] + begin, of[some] - low, begin, end, high - low, width))
-            single = (pc.list_value_length(lists).to_numpy() == 1) & (hits.field("n").to_numpy() > 2)
-            single = np.flatnonzero(single & (hits.field("nth").to_numpy() > 1))
-            near, few = np.full(len(hits), None, object), np.zeros(len(hits), np.int32)
-            if len(single):
-                at = ends[single] - 1
-                few[single] = most_lost(grams, begins, width)[places[at] + begins[text[at]]]
-            for low in range(0, len(single), HITS_AT_ONCE):
-                some = single[low : low + HITS_AT_ONCE]
-                at, own_text = places[ends[some] - 1], text[ends[some] - 1]
-                begin, end = begins[own_text], begins[own_text + 1]
-                near[some] = [r.tobytes() for r in around(grams, at + begin, begin, end, width)]
+            sizes = pc.list_value_length(lists).to_numpy()
+            wanted = (sizes <= PLACES) & (hits.field("n").to_numpy() > 2) & (hits.field("nth").to_numpy() > 1)
+            near, few_lost = np.full(len(hits), None, object), np.zeros(len(hits), np.int32)
+            if wanted.any():
+                np.maximum.at(few_lost, of, most_lost(grams, begins, width)[places + begins[text]])
+            wanted = np.flatnonzero(wanted)
+            for low in range(0, len(wanted), HITS_AT_ONCE // PLACES):
+                some = wanted[low : low + HITS_AT_ONCE // PLACES]
+                at = np.arange(sizes[some].sum()) + np.repeat(ends[some] - np.cumsum(sizes[some]), sizes[some])
+                begin, end = begins[text[at]], begins[text[at] + 1]
+                close = around(grams, places[at] + begin, begin, end, width)
+                near[some] = [c.tobytes() for c in np.split(close, np.cumsum(sizes[some])[:-1])]
             numbers = np.concatenate([np.zeros((0, len(SKETCH)), np.int64), *(f[0] for f in found)])
             lost = np.concatenate([np.zeros(0, np.int32), *(f[1] for f in found)]).astype(np.int32)
             columns = [hits.field("key"), batch.column("row").take(row), lists, hits.field("nth"), hits.field("n")]
             columns += [batch.column("n_words").take(row), *(pa.array(numbers[:, k]) for k in range(len(SKETCH)))]
-            columns += [pa.array(lost), pa.array(near, pa.binary()), pa.array(few)]
+            columns += [pa.array(lost), pa.array(near, pa.binary()), pa.array(few_lost)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "row", "places", "nth", "n", "n_words", *SKETCH, *AROUND])
 
     numbers = ", ".join(f"{name} long" for name in SKETCH)
@@ -349,20 +372,30 @@ def may_match(width: int, threshold: float) -> Column:
 
 
 def _may_meet(met: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The pairs of ``met`` but those that :func:`may_hold` rules out, where either has one place."""
+    """The pairs of ``met`` but those that :func:`may_hold` rules out, where neither has very many places."""
+    size, needed = 2 * width - 1, 2 * width * threshold / (1 + threshold) - 1e-6
+
     def judge(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_iter:
             raws = batch.column("around"), batch.column("other_around")
-            single = pc.and_(*(pc.is_valid(r) for r in raws)).to_numpy(zero_copy_only=False)
-            kept, single = ~single, np.flatnonzero(single)
-            lost = sum(batch.column(c).to_numpy() for c in ("few_lost", "other_few_lost"))
-            needed = 2 * width * threshold / (1 + threshold) - 1e-6 - 0.5 * lost
-            for low in range(0, len(single), HITS_AT_ONCE // 4):
-                some = single[low : low + HITS_AT_ONCE // 4]
-                own, other = (
-                    np.frombuffer(b"".join(r.take(pa.array(some)).to_pylist()), np.uint16).reshape(len(some), -1) for r in raws
-                )
-                kept[some] = may_hold(own, other, width, needed[some])
+            few = pc.and_(*(pc.is_valid(r) for r in raws)).to_numpy(zero_copy_only=False)
+            kept, few = ~few, np.flatnonzero(few)
+            lost = [batch.column(c).to_numpy() for c in ("few_lost", "other_few_lost")]
+            grams, places = [], []
+            for raw in raws:
+                found = raw.take(pa.array(few)).to_pylist()
+                grams.append(np.frombuffer(b"".join(found), np.uint16).reshape(-1, size))
+                places.append(np.array([len(f) // 2 // size for f in found], int))
+            # All places of the one with all of the other.
+            each = places[0] * places[1]
+            of = np.repeat(np.arange(len(few)), each)
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+            at = (np.cumsum(places[0]) - places[0])[of] + nth // places[1][of], (np.cumsum(places[1]) - places[1])[of] + nth % places[1][of]
+            for low in range(0, len(of), HITS_AT_ONCE // 4):
+                some = slice(low, low + HITS_AT_ONCE // 4)
+                met = few[of[some]]
+                fits = may_hold(grams[0][at[0][some]], grams[1][at[1][some]], width, needed, lost[0][met], lost[1][met])
+                kept[met[fits]] = True
             yield batch.select(["row", "other", "words"]).filter(pa.array(kept))
 
     return met.mapInArrow(judge, "row long, other long, words long")
