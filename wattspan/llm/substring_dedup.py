@@ -57,6 +57,8 @@ HITS_AT_ONCE = 4_000
 PAIRS_AT_ONCE, WORDS_AT_ONCE = 2_000, 8_000_000
 # Rows are numbered by partition of the input; so many bits are the number within it.
 ROW_BITS = 33
+# Few bytes of texts take long to compare, so tasks are not merged by their bytes there.
+ALL_TASKS = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
 # The shingles around a key's places are kept where these are so many at most.
 PLACES = 8
 # From so many rows of a key on, the rows that one is compared with grow faster in number.
@@ -832,7 +834,8 @@ def repeated_passages(
         pairs = stage(pairs, "passage-pairs")
         if spans is None or not pairs.isEmpty():
             found = _verify(pairs, with_text, shingle, length, threshold)
-            found = stage(found.dropDuplicates(["row", "start", "end", "kept"]), "passage-spans")
+            with session_conf(docs.sparkSession, ALL_TASKS):
+                found = stage(found.dropDuplicates(["row", "start", "end", "kept"]), "passage-spans")
             done = pairs if done is None else done.unionByName(pairs)
             spans = found if spans is None else spans.unionByName(found)
         first, low, high = low == 0, high, (16 if high >= FEW else 4) * high - 1 if high > 1 else 3
